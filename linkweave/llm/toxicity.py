@@ -25,13 +25,14 @@ def words_of(text: bytes) -> set[bytes]:
 class TrainOptions:
     """``sample``: bound of labelled rows used for fitting; ``features``: words kept (by a two-class
     score on the sample, at least ``min_docs`` documents each); ``penalty``: L1 weight, over the root of
-    the number of fitted rows."""
+    the number of fitted rows; ``ridge``: L2 weight, over that number, of the second fit."""
 
     sample: int = 8000
     features: int = 1024
     min_docs: int = 5
-    penalty: float = 0.2
-    steps: int = 400
+    penalty: float = 0.07
+    ridge: float = 0.1
+    steps: int = 500
     holdout: int = 5
 
 
@@ -61,11 +62,27 @@ class OrdinalModel:
         return OrdinalModel({bytes.fromhex(w): x for w, x in form["weights"].items()}, form["cuts"], form["threshold"])
 
 
+def graded(texts: list[bytes], toxic: list[int], min_docs: int = 5) -> list[int]:
+    """Severity grades: 0 not toxic; toxic texts get 2 if they hold more than the median number of marker
+    words, else 1. Markers are words of at least ``min_docs`` toxic texts that are 8 times as frequent there."""
+    seen = [words_of(t) for t in texts]
+    counts: dict[bytes, list[int]] = {}
+    for words, flag in zip(seen, toxic, strict=True):
+        for w in words:
+            counts.setdefault(w, [0, 0])[flag > 0] += 1
+    yes, no = max(1, sum(f > 0 for f in toxic)), max(1, sum(f == 0 for f in toxic))
+    markers = {w for w, n in counts.items() if n[1] >= min_docs and n[1] / yes >= 8 * n[0] / no}
+    held = [len(words & markers) for words in seen]
+    some = sorted(h for h, flag in zip(held, toxic, strict=True) if flag)
+    middle = some[len(some) // 2] if some else 0
+    return [(1 + (h > middle)) if flag else 0 for h, flag in zip(held, toxic, strict=True)]
+
+
 def fit(texts: list[bytes], grades: list[int], options: TrainOptions = TrainOptions()) -> OrdinalModel:
-    """Proportional-odds fit by proximal gradient steps (soft threshold on the shared weights)."""
+    """Proportional-odds fit: words that raise severity are chosen by a soft threshold, then weighted."""
     import numpy as np
 
-    top = max([1, *grades])
+    top = max([2, *grades])
     y = np.array(grades, np.int64)
     seen = [words_of(t) for t in texts]
     counts: dict[bytes, list[int]] = {}
@@ -90,35 +107,78 @@ def fit(texts: list[bytes], grades: list[int], options: TrainOptions = TrainOpti
             if (i := place.get(w)) is not None:
                 x[row, i] = 1
     share = [min(max(float((y >= j).mean()), 1e-4), 1 - 1e-4) for j in range(1, top + 1)]
-    cuts = np.array([-np.log(p / (1 - p)) for p in share])
-    cuts = np.maximum.accumulate(cuts + 1e-3 * np.arange(top))
-    w = np.zeros(len(chosen))
+    base = np.array([-np.log(p / (1 - p)) for p in share])
+    base = np.maximum.accumulate(base + 1e-3 * np.arange(top))
     reach = (y[:, None] >= np.arange(1, top + 1)).astype(float)
-    penalty = options.penalty / len(y) ** 0.5
-    step = 4.0 / (top * max(1.0, float((x * x).sum(1).mean())))
-    look, before, t = w.copy(), w.copy(), 1.0
-    for _ in range(options.steps):  # accelerated proximal gradient over all thresholds' logistic terms
-        error = 1 / (1 + np.exp(-np.clip((x @ look.astype(np.float32))[:, None] - cuts, -30, 30))) - reach
-        slope = (x.T @ error.sum(1).astype(np.float32)) / len(y)
-        w = look - step * slope
-        w = np.sign(w) * np.maximum(np.abs(w) - step * penalty, 0)
-        cuts = np.maximum.accumulate(cuts + 2.0 * error.mean(0))
-        after = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        look, before, t = w + (t - 1) / after * (w - before), w, after
+
+    def descend(x, soft: float, ridge: float):
+        """Accelerated proximal gradient over all thresholds' logistic terms; (shared weights, cuts)."""
+        w, cuts = np.zeros(x.shape[1]), base.copy()
+        step = 4.0 / (top * (1 + max(1.0, float((x * x).sum(1).mean()))))
+        look, before, t = w.copy(), w.copy(), 1.0
+        for _ in range(options.steps):
+            error = 1 / (1 + np.exp(-np.clip((x @ look.astype(np.float32))[:, None] - cuts, -30, 30))) - reach
+            slope = (x.T @ error.sum(1).astype(np.float32)) / len(y) + ridge * look
+            w = look - step * slope
+            w = np.sign(w) * np.maximum(np.abs(w) - step * soft, 0)
+            cuts = np.maximum.accumulate(cuts + step * error.mean(0))
+            after = (1 + (1 + 4 * t * t) ** 0.5) / 2
+            look, before, t = w + (t - 1) / after * (w - before), w, after
+        return w, cuts
+
+    # the soft threshold chooses the words; their weights are then fitted again without its shrinkage
+    w, _ = descend(x, options.penalty / len(y) ** 0.5, 0.0)
+    support = np.flatnonzero(w > 0)
+    w, cuts = _newton(x[:, support].astype(float), reach, base, options.ridge / len(y))
+    chosen = [chosen[i] for i in support]
     weights = {c: float(v) for c, v in zip(chosen, w, strict=True) if v}
     return OrdinalModel(weights, [float(c) for c in cuts])
 
 
+def _newton(x, reach, base, ridge: float, rounds: int = 40):
+    """Damped Newton steps for shared weights and cuts; few words are left here, so the matrix is small."""
+    import numpy as np
+
+    n, p = x.shape
+    top = reach.shape[1]
+    at = np.concatenate((np.zeros(p), base))
+    small = np.concatenate((np.full(p, ridge), np.full(top, ridge)))
+    mid = np.concatenate((np.zeros(p), base))
+
+    def loss(z) -> float:
+        margin = (x @ z[:p])[:, None] - z[p:]
+        return float((np.logaddexp(0, margin) - reach * margin).sum() / n + (small * (z - mid) ** 2).sum() / 2)
+
+    now = loss(at)
+    for _ in range(rounds):
+        chance = 1 / (1 + np.exp(-np.clip((x @ at[:p])[:, None] - at[p:], -500, 500)))
+        error, curve = (chance - reach) / n, chance * (1 - chance) / n
+        slope = np.concatenate((x.T @ error.sum(1), -error.sum(0))) + small * (at - mid)
+        both = np.zeros((p + top, p + top))
+        both[:p, :p] = (x * curve.sum(1)[:, None]).T @ x
+        both[:p, p:] = -(x.T @ curve)
+        both[p:, :p] = both[:p, p:].T
+        both[p:, p:] = np.diag(curve.sum(0))
+        move = np.linalg.solve(both + np.diag(small + 1e-9), slope)
+        length = 1.0
+        while length > 1e-4 and loss(at - length * move) > now:
+            length /= 2
+        at = at - length * move
+        before, now = now, loss(at)
+        if before - now < 1e-10:
+            break
+    return at[:p], np.maximum.accumulate(at[p:])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, options: TrainOptions) -> list[tuple[int, bytes, int]]:
-    """At most ``options.sample`` labelled documents by hash of their id: (doc_id, text, grade).
+    """At most ``options.sample`` labelled documents by hash of their id: (doc_id, text, toxic).
 
-    Grades: 0 not toxic, 1 toxic, 2 toxic and of low quality. Rows without a toxic label are left out;
-    a missing quality counts as good. The bound makes the broadcast and the collection constant.
+    Rows without a toxic label are left out; of several labels the highest holds. The bound makes the
+    broadcast and the collection constant.
     """
-    grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).otherwise(0)
     picked = (
         labels.filter("toxic is not null and doc_id is not null")
-        .select(F.col("doc_id").cast("long").alias("_id"), grade.alias("_grade"))
+        .select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_grade"))
         .groupBy("_id").agg(F.max("_grade").alias("_grade"))
         .orderBy(F.xxhash64(F.lit("severity"), "_id"), "_id")
         .limit(options.sample)
@@ -128,13 +188,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, options: TrainOptions) -
     return [(r["_id"], (r["text"] or "").encode(), r["_grade"]) for r in texts.collect()]
 
 
+def calibrated(model: OrdinalModel, rows: list[tuple[bytes, bool]]) -> float:
+    """The chance in [0.15, 0.5] from which on a text counts as toxic: best F1 on ``rows``, ties to the highest."""
+    chances = [(model.at_least(model.score(t))[0], flag) for t, flag in rows]
+    best = (-1.0, 0.5)
+    for i in range(15, 51):
+        limit = i / 100
+        caught = sum(flag for c, flag in chances if c >= limit)
+        wrong = sum(not flag for c, flag in chances if c >= limit)
+        missed = sum(flag for c, flag in chances if c < limit)
+        f1 = 2 * caught / (2 * caught + wrong + missed) if caught else 0.0
+        best = max(best, (round(f1, 9), limit))
+    return best[1] if best[0] > 0 else 0.5
+
+
 def train(docs: DataFrame, labels: DataFrame, options: TrainOptions = TrainOptions()) -> tuple[OrdinalModel, dict]:
-    """Model and held-out figures; every ``holdout``-th sampled document only sets the decision threshold's figures."""
-    rows = labelled_sample(docs, labels, options)
-    fold = [i % options.holdout == 0 for i in range(len(rows))]
-    kept = [r for r, out in zip(rows, fold, strict=True) if not out]
-    model = fit([r[1] for r in kept], [r[2] for r in kept], options)
-    held = [(model.at_least(model.score(r[1]))[0] >= model.threshold, r[2] > 0) for r, out in zip(rows, fold, strict=True) if out]
+    """Model and held-out figures. Of every ``holdout`` sampled documents one sets the decision limit and
+    one is only measured."""
+    rows = [(t, g > 0, i % options.holdout) for i, (_, t, g) in enumerate(labelled_sample(docs, labels, options))]
+    kept = [r for r in rows if r[2] > 1]
+    texts = [r[0] for r in kept]
+    model = fit(texts, graded(texts, [int(r[1]) for r in kept], options.min_docs), options)
+    model.threshold = calibrated(model, [r[:2] for r in rows if r[2] == 1])
+    held = [(model.at_least(model.score(t))[0] >= model.threshold, flag) for t, flag, fold in rows if fold == 0]
     right = sum(a == b for a, b in held)
     caught = sum(a and b for a, b in held)
     return model, {
@@ -162,7 +238,7 @@ def severity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
             columns: list[list] = [[] for _ in range(4)]
             for text in utf8(batch, "text"):
                 reached = own.at_least(own.score(text))
-                grade = sum(p >= own.threshold for p in reached)
+                grade = sum(p >= (0.5 if j else own.threshold) for j, p in enumerate(reached))
                 for column, value in zip(columns, (grade, sum(reached), reached[0], grade > 0), strict=True):
                     column.append(value)
             ids = batch.column(batch.schema.get_field_index("doc_id"))
