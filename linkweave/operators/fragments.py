@@ -76,7 +76,7 @@ def fragment_summary(fragments: DataFrame, genome: int = 2_934_876_545) -> DataF
     bc = per_bc.agg(F.count(F.lit(1)).alias("n_barcodes"), F.round(F.avg("f"), 4).alias("frags_per_bc"), F.round(F.avg("r"), 4).alias("reads_per_bc"))
     total = fragments.agg(
         F.count(F.lit(1)).alias("n_fragments"),
-        F.round(F.avg("length"), 4).alias("mean_length"),
+        F.round(F.avg("length"), 2).alias("mean_length"),
         F.round(F.median("length"), 4).alias("median_length"),
         F.round(F.avg("n_reads"), 4).alias("reads_per_frag"),
         F.round(F.sum(F.col("length").cast("double")) / genome * 100, 4).alias("genome_percent"),

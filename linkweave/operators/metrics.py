@@ -92,17 +92,23 @@ def adapter_frequency(reads: DataFrame, adapter: Column, start: int, length: int
     return reads.agg(F.count(F.lit(1)).alias("n_reads"), _count(hit).alias("n_hits"), F.round(F.avg(hit.cast("double")), 6).alias("frequency"))
 
 
-def adapter_trim(reads: DataFrame, adapters: DataFrame, k: int = 23, mismatches: int = 1) -> DataFrame:
+def adapter_trim(reads: DataFrame, adapters: DataFrame, k: int = 23, mismatches: int = 1, few_bases: int = 200_000) -> DataFrame:
     """Trims each read from its first place that holds an adapter k-mer with up to ``mismatches`` (0 or 1).
 
     Reads are cut into k-mers and joined to the adapters' k-mer neighbourhood on equality; the least hit
-    place per read is all that is gathered.
+    place per read is all that is gathered. The adapter side is broadcast only up to ``few_bases`` bases.
     """
+    few = (adapters.agg(F.sum(F.length("adapter"))).first()[0] or 0) <= few_bases
     probes = adapters.select(F.explode(S.kmers(F.col("adapter"), k)).alias("w"))
     if mismatches:
         probes = probes.select(F.explode(S.neighbours(F.col("w"), k)).alias("w"))
-    cut = reads.select("read_id", F.posexplode(S.kmers(F.col("seq"), k)).alias("at", "w"))
-    first = cut.join(probes.distinct(), "w", "left_semi").groupBy("read_id").agg(F.min("at").alias("at"))
+    # long sequences go in overlapping chunks: a substring costs its distance from the string's start
+    chunk = 256
+    starts = F.sequence(F.lit(0), F.greatest(F.length("seq") - k, F.lit(0)), F.lit(chunk))
+    chunks = reads.select("read_id", "seq", F.explode(starts).alias("off"))
+    chunks = chunks.select("read_id", "off", F.substring(F.col("seq"), F.col("off") + 1, F.lit(chunk + k - 1)).alias("part"))
+    cut = chunks.select("read_id", "off", F.posexplode(S.kmers(F.col("part"), k)).alias("i", "w")).select("read_id", (F.col("off") + F.col("i")).alias("at"), "w")
+    first = cut.join(F.broadcast(probes.distinct()) if few else probes.distinct(), "w", "left_semi").groupBy("read_id").agg(F.min("at").alias("at"))
     trimmed = reads.join(first, "read_id", "left")
     seq = F.when(F.col("at").isNull(), F.col("seq")).otherwise(F.substring(F.col("seq"), F.lit(1), F.col("at")))
     return trimmed.select("read_id", seq.alias("seq"), F.length(seq).cast("long").alias("kept"), F.col("at").isNotNull().cast("long").alias("trimmed"))

@@ -165,7 +165,7 @@ def fragment_gate(spark: SparkSession, d: str) -> DataFrame:
 @_query(
     f"""WITH {_FRAGS_SQL}, b AS (SELECT barcode, count(*) AS f, sum(n_reads) AS r FROM frags GROUP BY 1)
 SELECT (SELECT count(*) FROM b) AS n_barcodes, (SELECT round(avg(f), 4) FROM b) AS frags_per_bc, (SELECT round(avg(r), 4) FROM b) AS reads_per_bc,
-  count(*) AS n_fragments, round(avg(length), 4) AS mean_length, round(median(length), 4) AS median_length, round(avg(n_reads), 4) AS reads_per_frag,
+  count(*) AS n_fragments, round(avg(length), 2) AS mean_length, round(median(length), 4) AS median_length, round(avg(n_reads), 4) AS reads_per_frag,
   round(sum(CAST(length AS DOUBLE)) / 2934876545000000 * 100, 4) AS genome_percent FROM frags"""
 )
 def fragment_summary(spark: SparkSession, d: str) -> DataFrame:
