@@ -123,7 +123,7 @@ def plan_mix(docs: DataFrame, options: MixOptions) -> tuple[DataFrame, DataFrame
     # one row per source, so the table is broadcast: sources are a fixed list of origins, not data
     known = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("q_source"))).filter("total > 0")
     known = known.withColumn("last", _order(options.seed, F.col("passes"), F.col("key")))
-    span = (1 << 52) // (64 * n)
+    span = (1 << 52) // (8 * n)
     ranged = known.withColumn("range", (F.col("last") / F.lit(span)).cast("long"))
     sums = ranged.groupBy("q_source", "range").agg(F.sum("n_tokens").alias("t"))
     upto = Window.partitionBy("q_source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
