@@ -1,0 +1,274 @@
+"""Operators of the training-data subpackage against brute force on small fixtures, with their edge cases."""
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from linkweave.llm import common, decontaminate, mixing, ngram_join, pii, quality, sentence_spans, sharding, suffix_dedup, token_counts, toxicity
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, shard int, rank int, copies int"
+SMALL = "/root/testdata/sf0.001"
+
+
+def words(n, seed, pool=400):
+    r = random.Random(seed)
+    return " ".join(r.choice("bcdfgl") + r.choice("aeiou") + str(r.randrange(pool)) for _ in range(n))
+
+
+def texts():
+    base = [words(120, s) for s in range(6)]
+    near = base[0].split()
+    near[60] = "changed"
+    passage = words(70, 99)
+    odd = [None, "", "   \n", "x", base[1], base[1], " ".join(near), base[2] + "\n" + passage + ".\n" + words(30, 50), passage + ". " + words(40, 51), "ab " * 4000]
+    return base + odd
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Nulls in every column, empty, very long, repeated rows and columns whose names clash."""
+    rows = [(i, t, "en", f"s{i % 3}", len(t or ""), 1, 2, 3, 4) for i, t in enumerate(texts())]
+    rows += [rows[1], (None, words(80, 7), None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_empty_tables(spark, empty):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    for f in (
+        quality.quality_rules, quality.keep_good, mixing.mix, mixing.mix_rows, sharding.shard_documents, ngram_join.near_duplicates, ngram_join.keep_one,
+        suffix_dedup.remove_repeats, sentence_spans.remove_repeated_sentences, pii.surrogates, lambda d: decontaminate.decontaminate(d, bench),
+        lambda d: toxicity.severity(d, toxicity.OrdinalModel()),
+    ):
+        assert f(empty).count() == 0
+
+
+def test_quality(docs):
+    for r in quality.quality_rules(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
+        text = r["text"] or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        tri = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        covered = {i + j for i in range(len(w) - 2) for j in range(3) if tri[tuple(w[i : i + 3])] > 1}
+        lines = text.split("\n")
+        dup = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) and x in lines[:i] for i, x in enumerate(lines)) if len(lines) < 500 else 0
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        assert (r["n_words"], r["word_chars"], r["n_repeat_words"], r["n_dup_lines"], r["base_failed"]) == (len(w), sum(map(len, w)), len(covered), dup, failed)
+        assert r["kept"] == (not failed and not r["reason"])
+    assert quality.verdict(b"a" * 5000, quality.QualityOptions(), zlib.compress)[3] == "repetitive"
+    assert quality.verdict(random.Random(1).randbytes(5000), quality.QualityOptions(), zlib.compress)[3] == "incompressible"
+
+
+def test_sharding_law(docs):
+    found = sharding.shard_documents(docs, shards=4).collect()
+    assert len(found) == docs.count()
+    by_text = collections.defaultdict(set)
+    slots = collections.defaultdict(list)
+    for r in found:
+        by_text[r["text_key"]].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+    assert all(len(s) == 1 for s in by_text.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_packing_equals_one_by_one():
+    r = random.Random(3)
+    for _ in range(50):
+        sizes = sorted((r.randrange(1, 40) for _ in range(r.randrange(1, 60))), reverse=True)
+        bins: list[int] = []
+        for s in sizes:
+            fits = [(c, i) for i, c in enumerate(bins) if c >= s]
+            if fits:
+                bins[min(fits)[1]] -= s
+            else:
+                bins.append(50 - s)
+        classes = sorted(collections.Counter(sizes).items(), reverse=True)
+        runs = sharding.pack(classes, 50)
+        left = [50] * (1 + max(x.shard for x in runs))
+        for x in runs:
+            left[x.shard] -= x.size * x.count
+        assert sorted(left) == sorted(bins) and min(left) >= 0
+        even = sharding.pack_evenly(classes, 4)
+        assert sum(x.count for x in even) == len(sizes) and max(x.shard for x in even) < 4
+
+
+def test_near_duplicates_and_links(docs):
+    found = ngram_join.near_duplicates(docs).collect()
+    assert len(found) == docs.count()
+    grams = {t: set(ngram_join.shingles(t.encode(), 5).tolist()) for t in texts() if t is not None}
+    grams[words(80, 7)] = set(ngram_join.shingles(words(80, 7).encode(), 5).tolist())
+    links = collections.Counter()
+    for a, b in itertools.combinations(grams, 2):
+        if grams[a] and grams[b] and len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b]):
+            links[hashlib.md5(a.encode()).hexdigest()] += 1
+            links[hashlib.md5(b.encode()).hexdigest()] += 1
+    assert sum(links.values()) > 0
+    assert {r["text_key"]: r["n_links"] for r in found} == {hashlib.md5(t.encode()).hexdigest(): links[hashlib.md5(t.encode()).hexdigest()] for t in grams}
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns and kept.count() == len({r["component"] for r in found})
+
+
+def test_blocks_lose_no_link(spark):
+    base = words(100, 1).split()
+    rows = [(i, " ".join([*base[:40], f"w{i}", *base[41:]])) for i in range(40)]
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.near_duplicates(some).collect()}
+    cut = ngram_join.near_duplicates(some, ngram_join.JoinOptions(block=7))
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in cut.collect()} == want
+    assert set(want.values()) == {(0, 39)}
+
+
+def test_decontamination(spark, docs):
+    passage = words(70, 99)
+    bench = spark.createDataFrame([(1, passage[: len(passage) // 2]), (2, "Zebra, quux!"), (3, None), (4, words(60, 1234)), (None, "x")], "item_id long, text string")
+    found = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, bench).collect()}
+    n = len(decontaminate.fold_words(passage[: len(passage) // 2].encode()))
+    hit = {i: r["n_hit"] for i, r in found.items() if r["contaminated"]}
+    assert set(hit) == {13, 14} and all(n - 1 <= h <= n for h in hit.values())
+    assert found[13]["items_sha256"] == hashlib.sha256(b"1").hexdigest()
+    clean = {r["doc_id"]: r["text"] for r in decontaminate.remove_contamination(docs, bench, max_hit_share=0.9).collect()}
+    assert clean[0] == texts()[0] and passage[:40] not in clean[13]
+
+
+def test_token_counts(docs):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    path = str(P.path("byte_bpe_50k.json"))
+    whole = Tokenizer.from_file(path)
+    got = collections.Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in token_counts.token_counts(docs, path).collect())
+    rows = docs.select("doc_id", "text").collect()
+    assert got == collections.Counter((r[0], len((r[1] or "").encode()), len(whole.encode(r[1] or "", add_special_tokens=False))) for r in rows)
+    odd = ["a<|endoftext|>b  c\n\n d　e 12,5 it's\t\té", " \n ", "日本語 text"]
+    assert token_counts.PreTokenCounts(path)(odd) == [len(whole.encode(t, add_special_tokens=False)) for t in odd]
+
+
+@pytest.mark.parametrize("hot", [50_000, 1])
+def test_repeats_equal_brute_force(docs, hot):
+    size = 60
+    rows = [(r[0], (r[1] or "").encode()) for r in docs.select("doc_id", "text").collect()]
+    seen = collections.Counter(t[i : i + size] for _, t in rows for i in range(len(t) - size + 1))
+    want = collections.Counter()
+    for i, t in rows:
+        spans = suffix_dedup.joined_spans([(p, p + size) for p in range(len(t) - size + 1) if seen[t[p : p + size]] > 1])
+        kept = bytearray(t)
+        for a, b in reversed(spans):
+            del kept[a:b]
+        want[i, len(t), len(t) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()] += 1
+    options = suffix_dedup.RepeatOptions(length=size, gram=16, hot=hot)
+    assert collections.Counter(map(tuple, suffix_dedup.remove_repeats(docs, options).collect())) == want
+
+
+def test_runs_merge_in_order():
+    r = random.Random(2)
+    runs, every = [], []
+    for _ in range(7):
+        builder = suffix_dedup.RunBuilder()
+        for i in range(r.randrange(0, 40)):
+            s = bytes(r.choice(b"ab") for _ in range(r.randrange(1, 12)))
+            builder.add(0, s, b"", i, "k", i)
+            every.append(s)
+        runs += [x for _, x in builder.runs()]
+    out = list(suffix_dedup.LoserTree([suffix_dedup.decoded(x) for x in runs]))
+    assert [h[0] for _, h in out] == sorted(every)
+    assert all(n == suffix_dedup.common_prefix(out[i - 1][1][0], h[0]) for i, (n, h) in enumerate(out) if i)
+
+
+def test_sentences(spark):
+    run = "The first sentence of it has many words here. The second one has quite a few words too."
+    rows = [(2, "Own start. " + run + " Own end."), (1, run + " Other."), (None, run), (3, None), (4, ""), (1, run + " Other.")]
+    found = collections.defaultdict(list)
+    for r in sentence_spans.remove_repeated_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r["doc_id"]].append(r["text"])
+    assert found == {2: ["Own start. Own end."], 1: [run + " Other."] * 2, None: [""], 3: [None], 4: [""]}
+    for t in texts():
+        assert "".join(sentence_spans.sentences(t or "", sentence_spans.SpanOptions())) == (t or "")
+
+
+def test_surrogates(spark):
+    rows = [
+        (1, "Mail Ann.Lee@site.com or ann.lee@SITE.com, call +1 (017) 555-7713; host 10.20.30.40."),
+        (2, "Ms. Anna Smith met Dr. Smith; card 4111 1111 1111 1111, key deadbeefdeadbeefdeadbeefdeadbeef01"),
+        (3, "Nothing here, 12 cats."), (4, None), (5, ""), (1, "tel +1 017 555 7713 and other@site.com"),
+    ]
+    found = [(r["doc_id"], r["text"], r["n_entities"]) for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    text = {(i, n): t for i, t, n in found}
+    one, two, again = text[1, 4], text[2, 4], text[1, 2]
+    assert text[3, 0] == rows[2][1] and text[4, 0] is None and text[5, 0] == ""
+    for secret in ("lee@", "555-7713", "10.20.30.40", "Smith", "4111", "deadbeef", "other@"):
+        assert secret.lower() not in (one + two + again).lower()
+    a, b = re.findall(r"[^ ]+@[^ ,]+", one)
+    assert a.lower() == b.lower() and a[0].isupper()
+    assert re.search(r"\+\d \(\d{3}\) \d{3}-\d{4}", one) and re.sub(r"\D", "", one[one.index("+") : one.index(";")]) == re.sub(r"\D", "", again[again.index("+") : again.index(" and")])
+    assert re.search(r"Ms\. [A-Z]\w+ ([A-Z]\w+) met Dr\. \1;", two)
+    card = re.sub(r"\D", "", re.search(r"(?:\d{4} ){3}\d{4}", two)[0])
+    digits = [int(c) for c in card[::-1]]
+    assert sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2]) in range(0, 200, 10)
+
+
+def test_surrogates_stay_distinct(spark):
+    rows = [(i, f"a{i % 10}@{chr(97 + i // 10)}.io") for i in range(200)]
+    found = [r["text"] for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(found)) == 200 and not set(found) & {t for _, t in rows}
+
+
+def test_mixing(spark, docs):
+    options = mixing.MixOptions(target_entropy=0.98, max_repeats=3)
+    totals = {"a": 900_000, "b": 90_000, "c": 10_000}
+    exponent, found = mixing.quotas(totals, options)
+    assert 0 < exponent < 1 and all(q.quota <= 3 * q.total for q in found)
+    assert max(q.quota / q.total for q in found) > 2.99 or abs(mixing.entropy({q.source: q.weight for q in found}) - 0.98 * 1.0986) < 1e-3
+    rows = [(i, words(10 + i % 7, i), "s0" if i % 3 else "s1") for i in range(300)]
+    some = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed = mixing.mix(some, mixing.MixOptions(block_tokens=500)).collect()
+    _, table = mixing.plan_mix(some, mixing.MixOptions(block_tokens=500))
+    quota = {r["q_source"]: r["quota"] for r in table.collect()}
+    used = collections.Counter()
+    for r in placed:
+        used[r["source"]] += r["n_tokens"]
+    assert all(quota[s] - 17 <= used[s] <= quota[s] for s in quota)
+    assert mixing.mix_rows(some).columns == some.columns and mixing.mix_rows(docs).count() > 0
+    slots = collections.defaultdict(list)
+    for r in placed:
+        slots[r["block"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_toxicity_held_out(spark):
+    folder = "/root/testdata/sf0.1"
+    rows, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model, figures = toxicity.train(rows, labels)
+    assert figures["accuracy"] > 0.95 and figures["precision"] > 0.9 and figures["recall"] > 0.8
+    assert model.cuts == sorted(model.cuts)
+    same = toxicity.OrdinalModel.loads(model.dumps())
+    assert same.weights == model.weights and same.at_least(1.0) == model.at_least(1.0)
+
+
+def test_numbered(spark):
+    df = spark.createDataFrame([(None, i) for i in range(50)] + [("a", i) for i in range(70)], "g string, v long")
+    from pyspark.sql import functions as F
+
+    got = collections.defaultdict(list)
+    for r in common.numbered(df, ["g"], ["v"], "n", F.col("v"), 4).collect():
+        got[r["g"]].append(r["n"])
+    assert {g: sorted(v) for g, v in got.items()} == {None: list(range(50)), "a": list(range(70))}
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "mixing", "sharding"]
+    kept = corpus_pipeline.quality_stage(spark, rows, SMALL)
+    want = {r["doc_id"] for r in quality.quality_rules(rows).filter("kept").collect()}
+    assert {r["doc_id"] for r in kept.collect()} == want and kept.columns == rows.columns
+    final = corpus_pipeline.run(spark, SMALL).collect()
+    assert {r["doc_id"] for r in final} <= want and final
