@@ -260,7 +260,8 @@ def surrogates(docs: DataFrame, options: SurrogateOptions = SurrogateOptions())
     )
     lists = written(lists).withColumnRenamed("text_key", "k")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text")).alias("text_key"))
-    rows = rows.join(lists, F.col("text_key") == F.col("k"), "left")
+    # by sort-merge at every size: what is broadcast must not grow with the corpus
+    rows = rows.join(lists.hint("merge"), F.col("text_key") == F.col("k"), "left")
     gaps = F.split("text", PATTERN, -1)
     new = F.concat(
         F.array_join(F.transform("entries", lambda e: F.concat(F.when(e["j"] == 0, F.get(gaps, e["i"])).otherwise(F.lit(" ")), e["out"])), ""),
