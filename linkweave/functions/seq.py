@@ -80,3 +80,29 @@ def optional_int(text: Column, tag: str) -> Column:
 def cs_tokens(cs: Column) -> Column:
     """Tokens of a ``cs`` tag, in order."""
     return F.regexp_extract_all(cs, F.lit(r"(:[0-9]+|\*[a-z][a-z]|[=+\-][A-Za-z]+|~[a-z]{2}[0-9]+[a-z]{2})"), F.lit(1))
+
+
+def has_text_flag(flag: Column, bit: int, letter: str) -> Column:
+    """Bit of a flag given as digits, else whether the old text form has ``letter``."""
+    return F.when(flag.rlike(r"^\d+$"), has_flag(flag.try_cast("int"), bit)).otherwise(flag.contains(letter))
+
+
+def motif_place(seq: Column, motif: str) -> Column:
+    """First place (from 1) of a motif, -1 where it is missing."""
+    at = F.instr(seq, F.lit(motif))
+    return F.when(at == 0, -1).otherwise(at)
+
+
+def spike_id(name: Column) -> Column:
+    return F.nullif(F.regexp_extract(name, r"(ERCC-\d+)", 1), F.lit(""))
+
+
+def species_of(header: Column) -> Column:
+    """``Genus species`` of a FASTA header that begins with ``Genus_species``."""
+    return F.replace(F.regexp_extract(header, r"^([A-Za-z]+_[a-z]+)", 1), F.lit("_"), F.lit(" "))
+
+
+def read_identity(name: Column) -> Column:
+    """(read_id, barcode) around the first ``#``; barcode ``NA`` without one."""
+    at = F.instr(name, F.lit("#"))
+    return F.struct(F.substring_index(name, "#", 1).alias("read_id"), F.when(at == 0, "NA").otherwise(F.substring(name, at + 1, F.length(name))).alias("barcode"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.seq import gc_count
+
 
 def gate_reason(min_mapq: int = 30, mask: int = 0x900) -> Column:
     """First failed test of a read (barcode, flag mask, mapped, mapping quality), or null for a good read."""
@@ -141,3 +143,46 @@ def duplicate_rate(fragments: DataFrame) -> DataFrame:
     return fragments.groupBy("chrom").agg(
         F.sum("n_dup").alias("n_dup"), F.sum("n_reads").alias("n_reads"), F.round(F.sum("n_dup") / F.sum("n_reads"), 6).alias("dup_rate")
     )
+
+
+def fragments_from_bed(rows: DataFrame, gap: int, read_length: int = 100, most_n: int = 2) -> DataFrame:
+    """Fragments of split BED rows (``barcode, chrom, start, read_id, mate, strand``).
+
+    Barcodes with over ``most_n`` N are left out, a read counts once however many rows it has (its first start), and the strand of
+    second mates is turned.
+    """
+    turned = F.when(F.col("mate") == 2, F.when(F.col("strand") == "+", "-").otherwise("+")).otherwise(F.col("strand"))
+    good = rows.filter(F.length("barcode") - F.length(F.replace("barcode", F.lit("N"))) <= most_n)
+    reads = good.withColumn("strand", turned).groupBy("barcode", "chrom", "read_id").agg(F.min(F.struct("start", "strand")).alias("f"))
+    return call_fragments(reads.select("barcode", "chrom", "read_id", F.col("f.start").alias("pos"), F.when(F.col("f.strand") == "-", 16).otherwise(0).alias("flag")), gap, read_length)
+
+
+def length_bins(fragments: DataFrame, step: int, most: int) -> DataFrame:
+    """Fragments and reads by length bin; a length on the edge of two bins counts in both."""
+    low = F.floor(F.col("length") / step)
+    bins = F.when((F.col("length") % step == 0) & (low > 0), F.array(low - 1, low)).otherwise(F.array(low))
+    cut = fragments.filter(F.col("length") <= most).select("length", "n_reads", F.explode(bins).alias("bin")).filter(F.col("bin") * step < most)
+    return cut.groupBy((F.col("bin") * step).alias("from"), ((F.col("bin") + 1) * step).alias("to")).agg(
+        F.count(F.lit(1)).alias("n_fragments"), F.sum("n_reads").alias("n_reads"), F.round(F.median("n_reads"), 4).alias("median_reads")
+    )
+
+
+def reads_and_barcodes(reads: DataFrame, min_mapq: int) -> DataFrame:
+    """Primary mapped reads of at least ``min_mapq``, and their barcodes, per reference."""
+    good = reads.filter((F.col("flag").bitwiseAND(F.lit(0x900 | 4)) == 0) & (F.col("mapq") >= min_mapq))
+    per = good.groupBy("chrom", "barcode").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("chrom").agg(F.sum("n").alias("n_reads"), F.count("barcode").alias("n_barcodes"))
+
+
+def gc_ratio(fragments: DataFrame, references: DataFrame) -> DataFrame:
+    """GC share of each fragment's reference slice (``start``, ``end`` 1-based, both ends inside), over its length plus one."""
+    piece = F.expr("substring(seq, cast(start as int), cast(end - start + 1 as int))")
+    joined = fragments.join(references, "chrom").withColumn("_s", piece)
+    return joined.withColumn("gc_ratio", F.round(gc_count(F.col("_s")) / (F.length("_s") + 1), 6)).drop("_s", "seq")
+
+
+def end_bias(gaps: DataFrame) -> DataFrame:
+    """Poorly covered stretches of fragments by the half that holds their middle (``gap_start, gap_end, start, end, strand``); 5' is turned on ``-``."""
+    left = (F.col("gap_start") + F.col("gap_end")) < (F.col("start") + F.col("end"))
+    five = F.when(F.col("strand") == "-", ~left).otherwise(left)
+    return gaps.groupBy(F.when(five, "five_prime").otherwise("three_prime").alias("half")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("gap_end") - F.col("gap_start")).alias("bases"))

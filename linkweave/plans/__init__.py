@@ -1 +1,5 @@
-"""Linked-read analytics on Spark."""
+"""Registered queries; ``cohorts`` adds to the registry of ``catalogue``."""
+
+from . import catalogue, cohorts
+
+__all__ = ["catalogue", "cohorts"]
