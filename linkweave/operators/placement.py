@@ -13,49 +13,52 @@ def placements(reads: DataFrame, targets: DataFrame, k: int = 17, min_anchors: i
 
     k-mers with more than ``max_hits`` places in a target are ignored. A diagonal needs ``min_anchors``
     distinct k-mers over ``min_span`` bases; the best by anchors must be the only best one, and only
-    one strand may place.
+    one strand may place. (barcode, read_id) and (barcode, target_id) are keys.
     """
+    # rows grow by two orders where they are cut into k-mers, so the short rows are spread first
+    reads, targets = reads.select("barcode", "read_id", "seq").repartition("barcode", "read_id"), targets.select("barcode", "target_id", "seq").repartition("barcode", "target_id")
     both = reads.select(
         "barcode", "read_id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("s")), F.struct(F.lit("-").alias("strand"), S.reverse_complement(F.col("seq")).alias("s")))).alias("o")
     )
     query = both.select("barcode", "read_id", "o.strand", F.posexplode(S.kmers(F.col("o.s"), k)).alias("qpos", "w"))
     index = targets.select("barcode", "target_id", F.posexplode(S.kmers(F.col("seq"), k)).alias("tpos", "w"))
-    rare = index.groupBy("barcode", "target_id", "w").agg(F.collect_list("tpos").alias("places")).filter(F.size("places") <= max_hits)
-    index = rare.select("barcode", "target_id", "w", F.explode("places").alias("tpos"))
+    # one exchange serves both the count of a k-mer's places and the join
+    per_word = Window.partitionBy("barcode", "target_id", "w")
+    index = index.repartition("barcode", "w").withColumn("_n", F.count(F.lit(1)).over(per_word)).filter(F.col("_n") <= max_hits).drop("_n")
     hits = query.join(index, ["barcode", "w"])
+    # a diagonal meets each place of the query once, so rows count as distinct anchors
     diagonals = hits.groupBy("barcode", "read_id", "target_id", "strand", (F.col("tpos") - F.col("qpos")).alias("start")).agg(
-        F.countDistinct("qpos").alias("anchors"), (F.max("qpos") - F.min("qpos") + k).alias("span")
+        F.count(F.lit(1)).alias("anchors"), (F.max("qpos") - F.min("qpos") + k).alias("span")
     )
     good = diagonals.filter((F.col("anchors") >= min_anchors) & (F.col("span") >= min_span))
     key = ["barcode", "read_id", "target_id", "strand"]
-    best = good.groupBy(*key).agg(F.max("anchors").alias("anchors"))
-    top = good.join(best, [*key, "anchors"]).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("start")).filter("n = 1")
-    one = top.groupBy("barcode", "read_id", "target_id").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("start"), F.min("strand").alias("strand"))
+    levels = good.groupBy(*key, "anchors").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("start"))
+    top = levels.groupBy(*key).agg(F.max(F.struct("anchors", "n", "start")).alias("b")).filter("b.n = 1")
+    one = top.groupBy("barcode", "read_id", "target_id").agg(F.count(F.lit(1)).alias("n"), F.min("b.start").alias("start"), F.min("strand").alias("strand"))
     return one.filter("n = 1").select("barcode", "read_id", "target_id", F.col("start").cast("long").alias("start"), "strand")
 
 
 def read_back(placed: DataFrame, reads: DataFrame, targets: DataFrame, edge: int = 20) -> DataFrame:
-    """Per target: placed reads, breadth at 1x and 2x, reads at each end, and whether both ends have two."""
+    """Per target: placed reads, breadth at 1x and 2x, reads at each end, and whether both ends have two.
+
+    A read is two events, where it begins (with its end flags) and where it ends, so depth and counts come from one pass over the placements.
+    """
     sized = placed.join(reads.select("barcode", "read_id", F.length("seq").alias("rl")), ["barcode", "read_id"])
     sized = sized.join(targets.select("barcode", "target_id", F.length("seq").alias("tl")), ["barcode", "target_id"])
     spans = sized.select("barcode", "target_id", "tl", F.greatest("start", F.lit(0)).alias("a"), F.least(F.col("start") + F.col("rl"), F.col("tl")).alias("b"))
-    ends = spans.groupBy("barcode", "target_id", "tl").agg(
-        F.count(F.lit(1)).alias("placed_reads"),
-        F.sum((F.col("a") <= edge).cast("long")).alias("left_end_reads"),
-        F.sum((F.col("b") >= F.col("tl") - edge).cast("long")).alias("right_end_reads"),
+    zero, key = F.lit(0).cast("long"), ["barcode", "target_id", "tl"]
+    begins = F.struct(F.col("a").alias("at"), F.lit(1).cast("long").alias("d"), F.lit(1).cast("long").alias("reads"), (F.col("a") <= edge).cast("long").alias("left"), (F.col("b") >= F.col("tl") - edge).cast("long").alias("right"))
+    ends = F.struct(F.col("b").alias("at"), F.lit(-1).cast("long").alias("d"), zero.alias("reads"), zero.alias("left"), zero.alias("right"))
+    events = spans.select(*key, F.inline(F.array(begins, ends)))
+    steps = events.groupBy(*key, "at").agg(*[F.sum(c).alias(c) for c in ("d", "reads", "left", "right")])
+    order = Window.partitionBy(*key).orderBy("at")
+    runs = steps.withColumn("n", F.lead("at").over(order) - F.col("at")).withColumn("depth", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    breadth = lambda d: F.round(F.coalesce(F.sum(F.when(F.col("depth") >= d, F.col("n"))), F.lit(0)) / F.col("tl"), 6)
+    whole = runs.groupBy(*key).agg(
+        F.sum("reads").alias("placed_reads"), breadth(1).alias("breadth_1x"), breadth(2).alias("breadth_2x"), F.sum("left").alias("left_end_reads"), F.sum("right").alias("right_end_reads")
     )
-    events = spans.select("barcode", "target_id", F.explode(F.array(F.struct(F.col("a").alias("at"), F.lit(1).alias("d")), F.struct(F.col("b").alias("at"), F.lit(-1).alias("d")))).alias("e"))
-    steps = events.groupBy("barcode", "target_id", "e.at").agg(F.sum("e.d").alias("d"))
-    order = Window.partitionBy("barcode", "target_id").orderBy("at")
-    runs = steps.select("barcode", "target_id", (F.lead("at").over(order) - F.col("at")).alias("n"), F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("depth"))
-    depth = runs.groupBy("barcode", "target_id").agg(F.sum(F.when(F.col("depth") >= 1, F.col("n"))).alias("c1"), F.sum(F.when(F.col("depth") >= 2, F.col("n"))).alias("c2"))
-    return ends.join(depth, ["barcode", "target_id"]).select(
-        "barcode", "target_id", "placed_reads",
-        F.round(F.coalesce("c1", F.lit(0)) / F.col("tl"), 6).alias("breadth_1x"),
-        F.round(F.coalesce("c2", F.lit(0)) / F.col("tl"), 6).alias("breadth_2x"),
-        "left_end_reads", "right_end_reads",
-        ((F.col("left_end_reads") >= 2) & (F.col("right_end_reads") >= 2)).cast("long").alias("two_end_supported"),
-    )
+    both = (F.col("left_end_reads") >= 2) & (F.col("right_end_reads") >= 2)
+    return whole.withColumn("two_end_supported", both.cast("long")).drop("tl")
 
 
 def kmer_counts(df: DataFrame, seq: str, k: int) -> DataFrame:
