@@ -47,8 +47,8 @@ def first_groups(reads: DataFrame, n: int, order: str = "barcode") -> DataFrame:
 
 
 def depth_window(counts: DataFrame, low: int, high: int, n: int) -> DataFrame:
-    """The first ``n`` barcodes, in log order, of ``low`` to ``high`` reads."""
-    return counts.filter(F.col("cnt").between(low, high)).orderBy("idx").limit(n)
+    """The first ``n`` barcodes, in log order (then by barcode), of ``low`` to ``high`` reads."""
+    return counts.filter(F.col("cnt").between(low, high)).orderBy("idx", "barcode").limit(n)
 
 
 def downsample(reads: DataFrame, share: float, key: str = "barcode", tie: str = "read_id") -> DataFrame:
