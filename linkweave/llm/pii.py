@@ -58,10 +58,12 @@ _LOWER = {"[a-z]": "abcdefghijklmnopqrstuvwxyz", "[0-9]": "0123456789", "[à-ö
 @dataclass(frozen=True)
 class SurrogateOptions:
     """``key`` decides all replacements; ``rounds`` bounds the attempts against collisions, after which
-    the (few) entities whose format is used up get a digest appended."""
+    the (few) entities whose format is used up get a digest appended; an entity's mentions are dealt over
+    ``fan`` join tasks, so that one found in a third of all texts meets no single task."""
 
     key: str = "linkweave-surrogate-key"
     rounds: int = 10
+    fan: int = 8
 
 
 def _pick(seed: Column, at: Column, n: int) -> Column:
@@ -219,20 +221,21 @@ def assign(entities: DataFrame, options: SurrogateOptions) -> DataFrame:
 
     In each round every open entity gets a candidate; it is taken by the least entity that asks for it
     unless it is taken already or equals (in normal form) an entity found in the corpus. The others go
-    on to the next round. Rounds end when none is open, mostly after one or two.
+    on to the next round. Rounds end when none is open, mostly after one or two. Entity tables grow with
+    the corpus, so they are joined by sort-merge at every size and never broadcast.
     """
     open_ = written(entities.select("kind", "norm", "gender"))
-    real = open_.select(F.col("kind").alias("rk"), F.col("norm").alias("rn"))
+    real = open_.select(F.col("kind").alias("rk"), F.col("norm").alias("rn")).hint("merge")
     taken = None
     for attempt in range(options.rounds):
         candidates = written(open_.withColumn("sur", _surrogate(options, attempt)))
         free = candidates.join(real, (F.col("kind") == F.col("rk")) & (F.lower("sur") == F.col("rn")), "left_anti")
         if taken is not None:
-            gone = taken.select(F.col("kind").alias("tk"), F.col("sur").alias("ts"))
+            gone = taken.select(F.col("kind").alias("tk"), F.col("sur").alias("ts")).hint("merge")
             free = free.join(gone, (F.col("kind") == F.col("tk")) & (F.col("sur") == F.col("ts")), "left_anti")
         won = written(free.groupBy("kind", "sur").agg(F.min("norm").alias("norm")).select("kind", "norm", "sur"))
         taken = won if taken is None else taken.unionByName(won)
-        open_ = written(open_.join(won.select("kind", "norm"), ["kind", "norm"], "left_anti"))
+        open_ = written(open_.join(won.select("kind", "norm").hint("merge"), ["kind", "norm"], "left_anti"))
         if open_.isEmpty():
             return taken
     digest = F.substring(F.sha2(F.concat_ws("\u0001", F.lit(options.key), "kind", "norm"), 256), 1, 24)
@@ -253,8 +256,10 @@ def surrogates(docs: DataFrame, options: SurrogateOptions = SurrogateOptions())
     entities = pieces.filter("kind <> 'keep'").groupBy("kind", "norm").agg(F.min("gender").alias("gender"))
     chosen = assign(entities, options)
     out = F.when(F.col("kind") == "keep", F.col("surface")).otherwise(_laid_out(F.col("surface"), F.col("sur"), F.col("kind")))
+    dealt = pieces.withColumn("deal", F.pmod(F.xxhash64("text_key"), F.lit(options.fan)).cast("int"))
+    dealt_to = chosen.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(options.fan - 1)))).hint("merge")
     lists = (
-        pieces.join(chosen, ["kind", "norm"], "left")
+        dealt.join(dealt_to, ["kind", "norm", "deal"], "left")
         .select("text_key", F.struct("i", "j", out.alias("out")).alias("e"))
         .groupBy("text_key").agg(F.sort_array(F.collect_list("e")).alias("entries"))
     )
