@@ -157,3 +157,10 @@ def coverage_classes(exons: DataFrame, edges: tuple[int, ...] = (1000, 2000, 300
     reached = F.coalesce(*[F.when(F.col("total") >= e, F.lit(e)) for e in sorted(edges, reverse=True)], F.lit(0))
     order = Window.partitionBy("class").orderBy(F.md5("barcode"), "barcode")
     return totals.withColumn("class", reached.cast("long")).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= cap).drop("_r")
+
+
+def first_contigs(contigs: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` contigs of each barcode, with the record name ``barcode>k41_i`` of each."""
+    order = Window.partitionBy("barcode").orderBy("contig_ix")
+    ranked = contigs.withColumn("i", F.row_number().over(order) - 1).filter(F.col("i") < most)
+    return ranked.withColumn("name", F.concat(F.col("barcode"), F.lit(">k41_"), F.col("i").cast("string"))).drop("i")

@@ -1,5 +1,5 @@
-"""Registered queries; ``cohorts`` adds to the registry of ``catalogue``."""
+"""Registered queries; ``cohorts`` and ``naming`` add to the registry of ``catalogue``."""
 
-from . import catalogue, cohorts
+from . import catalogue, cohorts, naming
 
-__all__ = ["catalogue", "cohorts"]
+__all__ = ["catalogue", "cohorts", "naming"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,39 @@ def read_pairs(spark: SparkSession, first: str, second: str) -> DataFrame:
     return laned(first).withColumnRenamed("r", "r1").join(laned(second).withColumnRenamed("r", "r2"), ["lane", "ord"])
 
 
+def lane_files(spark: SparkSession, folder: str, lanes: Sequence[str], mate: int | None = None) -> list[str]:
+    """Paths of the lanes' reads under ``folder``, sorted: of one mate, or (None) of single reads.
+
+    Files that the splitter set aside (``discard`` in the path) are left out. Only names are listed.
+    """
+    pattern = f"*_read_{mate}.fq.gz" if mate else "*_read*.fq.gz"
+    jvm = spark.sparkContext._jvm
+    found = []
+    for lane in lanes:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{lane}/{pattern}")
+        hits = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+        found += [hit.getPath().toString() for hit in hits]
+    return sorted(name for name in found if "discard" not in name)
+
+
+def bases_of_fastq(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(mate, seq) of read files for base counts: upper case, the mate from the file name (null if none)."""
+    parts = [read_fastq(spark, p) for p in paths]
+    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "file string, seq string")
+    mate = F.regexp_extract("file", r"_read_?([12])", 1)
+    return rows.select(F.when(mate != "", mate.cast("int")).alias("mate"), F.upper("seq").alias("seq"))
+
+
+def bases_of_sam(spark: SparkSession, path: str, only_mapped: bool = False) -> DataFrame:
+    """(mate, seq) of alignments for base counts: upper case, the mate from the flags (null if neither)."""
+    rows = read_sam(spark, path)
+    flag = F.col("flag")
+    if only_mapped:
+        rows = rows.filter(flag.bitwiseAND(F.lit(4)) == 0)
+    mate = F.when(flag.bitwiseAND(F.lit(64)) != 0, 1).when(flag.bitwiseAND(F.lit(128)) != 0, 2)
+    return rows.select(mate.alias("mate"), F.upper("seq").alias("seq"))
+
+
 def read_fasta(spark: SparkSession, path: str, keep: str = "all") -> DataFrame:
     """(name, header, seq) of multi-line FASTA; ``keep``: all, longest or last record of a name."""
     lines = _lines(spark, path).filter(F.length("line") > 0)
