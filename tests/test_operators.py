@@ -5,7 +5,8 @@ import gzip
 from pyspark.sql import functions as F
 
 from linkweave.functions import seq as S
-from linkweave.operators import demux, fragments, intervals, phasing
+from linkweave.kernels.assembly import AssembleOptions
+from linkweave.operators import assemble, demux, fragments, intervals, phasing
 from linkweave.sources import text
 from linkweave.streaming import sessions
 
@@ -78,3 +79,13 @@ def test_stream_equals_batch(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert {tuple(r) for r in spark.table("s").collect()} == batch
+
+
+def test_barcodes_without_contigs(spark):
+    reads = spark.createDataFrame([("b1", "ACGT" * 30), ("b2", "ACG")], "barcode string, seq string")
+    limits = AssembleOptions(min_contig=100)
+    found = assemble.assemble_barcodes(reads, limits)
+    assert [r["barcode"] for r in found.collect()] == ["b1"]
+    assert assemble.assemble_barcodes(reads, AssembleOptions(min_contig=1000)).count() == 0
+    judged = assemble.junction_qc(found, reads)
+    assert [r["barcode"] for r in judged.collect()] == ["b1"]
