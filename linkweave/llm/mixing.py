@@ -119,7 +119,7 @@ def plan_mix(docs: DataFrame, options: MixOptions) -> tuple[DataFrame, DataFrame
         [(q.source, q.total, q.weight, q.quota, q.quota // q.total if q.total else 0, q.quota % q.total if q.total else 0) for q in found], schema
     ).withColumn("exponent", F.lit(exponent))
     if not found:
-        return rows.limit(0).withColumn("last", F.lit(0).cast("long")).crossJoin(table.limit(0)), table.withColumn("cut", F.lit(-1).cast("long"))
+        return rows, table.withColumn("cut", F.lit(-1).cast("long"))
     # one row per source, so the table is broadcast: sources are a fixed list of origins, not data
     known = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("q_source"))).filter("total > 0")
     known = known.withColumn("last", _order(options.seed, F.col("passes"), F.col("key")))
