@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ _WORD = re.compile(r"\S+\s*")
 
 @dataclass(frozen=True)
 class SpanOptions:
-    """``sentences`` in a run; runs of fewer than ``min_words`` words are no evidence of copying;
-    a sentence of more than ``long`` words counts as several of up to that many."""
+    """``sentences`` in a run at least, and as many more as it takes to reach ``min_words`` words, since
+    fewer are no evidence of copying; a sentence of more than ``long`` words counts as several of up to that many."""
 
     sentences: int = 2
     min_words: int = 10
@@ -47,17 +48,36 @@ def sentences(text: str, options: SpanOptions) -> list[str]:
     return out
 
 
-def runs(parts: list[str], options: SpanOptions) -> list[tuple[int, str]]:
-    """(first sentence, normalised run) of every run with enough words."""
+def runs(parts: list[str], options: SpanOptions) -> list[tuple[int, int, str]]:
+    """(first sentence, sentences, normalised run) of the shortest run with enough words from every start and to every end.
+
+    With both, each stretch of enough sentences and words is covered by runs inside it.
+    """
     words = [p.lower().split() for p in parts]
-    normal, n, k = [" ".join(w) for w in words], [len(w) for w in words], options.sentences
-    return [(i, "\n".join(normal[i : i + k])) for i in range(len(parts) - k + 1) if sum(n[i : i + k]) >= options.min_words]
+    normal, k, least = [" ".join(w) for w in words], options.sentences, options.min_words
+    sums = [0, *accumulate(map(len, words))]
+    spans, stop, start = set(), 0, len(parts)
+    for i in range(len(parts)):
+        stop = max(stop, i + k)
+        while stop <= len(parts) and sums[stop] - sums[i] < least:
+            stop += 1
+        if stop > len(parts):
+            break
+        spans.add((i, stop))
+    for j in range(len(parts), 0, -1):
+        start = min(start, j - k)
+        while start >= 0 and sums[j] - sums[start] < least:
+            start -= 1
+        if start < 0:
+            break
+        spans.add((start, j))
+    return [(i, j - i, "\n".join(normal[i:j])) for i, j in sorted(spans)]
 
 
 def remove_repeated_sentences(docs: DataFrame, options: SpanOptions = SpanOptions()) -> DataFrame:
     """Every row of ``docs`` without the sentences covered by a non-first repeated run.
 
-    The first place of a run is the least (doc_id, text, sentence); null ids come last. Rows equal in
+    The first place of a run is the least (doc_id, text, number of the run); null ids come last. Rows equal in
     doc_id and text are one document: they keep and lose the same sentences. Null text stays null and
     empty text empty; a text of fewer sentences than a run keeps all. Further columns are ignored.
 
@@ -91,7 +111,7 @@ def remove_repeated_sentences(docs: DataFrame, options: SpanOptions = SpanOption
         for batch in batches:
             ids, t64, s64 = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "t64", "s64"))
             for text, doc, t, s in zip(utf8(batch, "text"), ids, t64, s64, strict=True):
-                for i, run in runs(sentences(text.decode("utf-8", "replace"), options), options):
+                for i, (_, _, run) in enumerate(runs(sentences(text.decode("utf-8", "replace"), options), options)):
                     h, place = digest(run), (doc is None, doc, t, s, i)
                     old = first.setdefault(h, place)
                     if old != place:
@@ -123,8 +143,9 @@ def remove_repeated_sentences(docs: DataFrame, options: SpanOptions = SpanOption
             starts = batch.column(batch.schema.get_field_index("starts")).to_pylist()
             for text, some in zip(column.to_pylist(), starts, strict=True):
                 parts = sentences(text or "", options)
-                gone = sorted({i + j for i in some or () for j in range(options.sentences)})
-                lost = set(gone)
+                known = runs(parts, options) if some else []
+                lost = {i for at in some or () for i in range(known[at][0], known[at][0] + known[at][1])}
+                gone = sorted(lost)
                 texts.append("".join(p for i, p in enumerate(parts) if i not in lost) if gone else text)
                 totals.append(len(parts))
                 counts.append(len(gone))

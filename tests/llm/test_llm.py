@@ -193,6 +193,26 @@ def test_sentences(spark):
         assert "".join(sentence_spans.sentences(t or "", sentence_spans.SpanOptions())) == (t or "")
 
 
+def test_short_sentences_repeat(spark):
+    """Lists and shouted words: runs grow to enough words, from both ends; a few tiny sentences alone are no repeat."""
+    verse = "".join(f"w{i} x{i}\n" for i in range(40))
+    odd = "One two three four five six seven eight nine. A b. C d. E f. "
+    rows = [(1, verse), (2, "Own head.\n" + verse + "Own tail."), (3, odd + "Other words follow in this place here now"), (4, "Before. " + odd + "After it."), (5, "Yes. No. Own."), (6, "Yes. No. Mine.")]
+    found = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeated_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == dict(rows) | {2: "Own head.\nOwn tail.", 4: "Before. After it."}
+
+
+def test_runs_cover_every_stretch():
+    """Every stretch of two sentences and ten words is covered by runs inside it."""
+    r, options = random.Random(4), sentence_spans.SpanOptions()
+    for _ in range(300):
+        parts = ["w " * r.choice([1, 1, 2, 3, 5, 9, 12]) for _ in range(r.randrange(1, 14))]
+        known = sentence_spans.runs(parts, options)
+        for a, b in itertools.combinations(range(len(parts) + 1), 2):
+            if b - a >= 2 and sum(len(p.split()) for p in parts[a:b]) >= 10:
+                assert {i + j for i, n, _ in known if a <= i and i + n <= b for j in range(n)} == set(range(a, b))
+
+
 def test_surrogates(spark):
     rows = [
         (1, "Mail Ann.Lee@site.com or ann.lee@SITE.com, call +1 (017) 555-7713; host 10.20.30.40."),
