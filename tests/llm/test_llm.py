@@ -202,6 +202,20 @@ def test_short_sentences_repeat(spark):
     assert found == dict(rows) | {2: "Own head.\nOwn tail.", 4: "Before. After it."}
 
 
+def test_passages_inside_long_sentences(spark):
+    """48 words inside long sentences are found however many words stand before and after them."""
+    rows = []
+    for i in range(40):
+        passage = words(48, 500 + i, 10**6)
+        rows += [(2 * i, f"{words(30, 600 + i, 10**6)} {passage} {words(31, 700 + i, 10**6)}.")]
+        rows += [(2 * i + 1, f"{words(30 + i, 800 + i, 10**6)} {passage} {words(70 - i, 900 + i, 10**6)}.")]
+    found = {r["doc_id"]: r["n_removed"] for r in sentence_spans.remove_repeated_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(bool(n) == bool(i % 2) for i, n in found.items())
+    for t in [rows[0][1], "ab " * 4000, words(300, 1, 3)]:
+        parts = sentence_spans.sentences(t, sentence_spans.SpanOptions())
+        assert "".join(parts) == t and max(len(p.split()) for p in parts) <= 10
+
+
 def test_runs_cover_every_stretch():
     """Every stretch of two sentences and ten words is covered by runs inside it."""
     r, options = random.Random(4), sentence_spans.SpanOptions()
