@@ -34,7 +34,7 @@ DETECTORS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in DETECTORS.values())
 #: Texts without any of these can't match; a plain scan that spares most texts the full pattern.
-_HINT = r"[0-9@]|" + _TITLE + r" \p{Lu}"
+_HINT = r"[0-9@]|AKIA|gh[opsu]_|" + _TITLE + r" \p{Lu}"
 
 #: Syllables that surrogate names are built from, by script and role.
 _SYLLABLES = {
