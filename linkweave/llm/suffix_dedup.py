@@ -94,7 +94,7 @@ def steps(texts: list[bytes], most: int) -> Iterator[tuple[int, list[bytes]]]:
     """``texts`` in slices of about ``most`` bytes (a longer text alone; below 2**24 bytes it is one piece)."""
     at, held, first = 0, 0, 0
     for at, text in enumerate(texts):
-        if held and held + len(text) > most:
+        if first < at and held + len(text) > most:
             yield first, texts[first:at]
             first, held = at, 0
         held += len(text)

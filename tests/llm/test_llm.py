@@ -167,6 +167,10 @@ def test_repeats_equal_brute_force(docs, hot):
     assert collections.Counter(map(tuple, suffix_dedup.remove_repeats(docs, options).collect())) == want
 
 
+def test_over_long_text_is_alone():
+    assert list(suffix_dedup.steps([b"", b"x" * 20, b"", b"y"], 10)) == [(0, [b""]), (1, [b"x" * 20]), (2, [b"", b"y"])]
+
+
 def test_runs_merge_in_order():
     r = random.Random(2)
     runs, every = [], []
