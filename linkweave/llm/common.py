@@ -1,4 +1,4 @@
-"""Shared pieces of the training-data operators: shared-folder tables, text access, numbering."""
+"""Shared pieces of the training-data operators: shared-folder tables, text access, numbering, joins over skewed keys."""
 
 from __future__ import annotations
 
@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where the cluster names one.
+    """The folder all executors share: ``spark.checkpoint.dir``, or the checkpoint folder that was set.
 
-    Only where neither the setting nor a checkpoint folder exists (a local test session) is a
-    temporary folder made.
+    Where neither is named, a single-process session (``local[...]``, as in tests) gets a temporary
+    folder; on a cluster that is an error, as its machines don't share temporary folders.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        master = spark.sparkContext.master
+        if master.startswith("local-cluster") or not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="linkweave-"))
         named = spark.sparkContext.getCheckpointDir()
     return named
@@ -31,7 +34,19 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/linkweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Deletes tables made by ``written`` that nothing reads any more."""
+    for table in tables:
+        path = getattr(table, "written_to", None)
+        if path:
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def text_key(text: Column) -> Column:
@@ -53,16 +68,26 @@ def buckets(spark: SparkSession, floor: int = 16) -> int:
     return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def skewed_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``many`` joined to ``one`` on ``key`` though a key may hold any part of the rows of ``many``.
+
+    Both sides must be reads or narrow steps over reads (see ``written``): each is then one exchange of its own, and
+    adaptive execution splits a partition that one key has blown up, repeating its few rows of ``one``. An aggregate
+    by the key in the same stage would forbid that. Nothing is broadcast.
+    """
+    return many.join(one.hint("merge"), key, how)
+
+
 def numbered(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, spread: Column, n: int
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, spread: Column, n: int, ranges: Column | None = None
 ) -> DataFrame:
     """Gapless 0-based number of each row in its ``group``, without bringing a whole group into one task.
 
     Rows are dealt by (group, bucket of ``spread``); bucket counts are summed up over the buckets of a
-    group (at most ``n`` rows a group) and shift the numbers inside each bucket. Null group values form
-    a group of their own.
+    group (at most ``n`` rows a group) and shift the numbers inside each bucket. With ``ranges``, its values are the
+    buckets, so that numbers follow (ranges, order) through the whole group. Null group values form a group of their own.
     """
-    dealt = df.withColumn("_b", F.pmod(F.xxhash64(spread), F.lit(n)).cast("int"))
+    dealt = df.withColumn("_b", F.pmod(F.xxhash64(spread), F.lit(n)).cast("int") if ranges is None else ranges)
     counts = dealt.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     ahead = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(

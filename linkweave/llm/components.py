@@ -5,20 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, skewed_join, written
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((u, v, m): each edge with the least neighbour of its ``u``, table that it reads).
+
+    The centre of a star may stand in any part of the edges, hence the least neighbours are a table of their own.
+    """
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")))
+    return skewed_join(edges, least, "u"), least
+
+
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    found, read = _with_least(both)
+    return found.filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")), read
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    turned = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return turned.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+    found, read = _with_least(down)
+    turned = found.select(F.col("v").alias("u"), F.col("m").alias("v")).union(read.select("u", F.col("m").alias("v")))
+    return turned.filter("u <> v").distinct(), read
 
 
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
@@ -34,8 +43,12 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
         mark = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if mark == seen or not mark["n"]:
             break
-        seen = mark
-        now = written(_small_star(_large_star(now)))
+        seen, before = mark, now
+        large, least = _large_star(now)
+        large = written(large)
+        now, lower = _small_star(large)
+        now = written(now)
+        forget(before, least, large, lower)
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_key, utf8, written
+from .common import forget, skewed_join, text_key, utf8, written
 from .components import components
 
 
@@ -17,7 +17,8 @@ from .components import components
 class JoinOptions:
     """``words`` per n-gram; pairs of ``similarity`` or more are links; ``recall`` is the least chance that
     a pair at the threshold shares a band; ``rows`` per band None: the most that needs at most
-    ``max_bands`` bands; ``block``: texts that one task compares at once."""
+    ``max_bands`` bands; ``block``: texts that one task compares at once; ``doubt``: standard deviations by
+    which a pair's sketches may fall short of the threshold before the pair is no candidate any more."""
 
     words: int = 5
     similarity: float = 0.8
@@ -25,6 +26,7 @@ class JoinOptions:
     max_bands: int = 24
     rows: int | None = None
     block: int = 512
+    doubt: float = 5.0
     seed: int = 20250101
 
 
@@ -67,7 +69,7 @@ def shingles(text: bytes, n: int):
 
 
 class Bands:
-    """Band hashes of an n-gram set: minima of ``bands * rows`` multiply-shift hashes."""
+    """Band hashes of an n-gram set, from the minima of ``bands * rows`` multiply-shift hashes, and the sketch: a byte of each minimum."""
 
     def __init__(self, options: JoinOptions):
         import numpy as np
@@ -79,7 +81,7 @@ class Bands:
         self.b = rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
     def __call__(self, grams):
-        """int64 array of ``bands`` hashes."""
+        """(int64 array of ``bands`` hashes, uint8 array of ``bands * rows`` values)."""
         import numpy as np
 
         low = np.full(len(self.a), np.iinfo(np.uint32).max, np.uint32)
@@ -92,7 +94,25 @@ class Bands:
         for i in range(self.rows):
             out = (out ^ rows[:, i]) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(31)
-        return out.view(np.int64)
+        return out.view(np.int64), low.astype(np.uint8)
+
+
+def likely(sketches, options: JoinOptions):
+    """Pairs (i, j) of rows of ``sketches`` whose similarity may reach the threshold.
+
+    The share of equal bytes estimates the similarity; a pair at the threshold falls short by ``doubt``
+    standard deviations less than once in a million times.
+    """
+    import numpy as np
+
+    n = sketches.shape[1]
+    s = options.similarity
+    least = n * (s - options.doubt * (s * (1 - s) / n) ** 0.5)
+    found = []
+    for i in range(len(sketches) - 1):
+        j = np.flatnonzero((sketches[i + 1 :] == sketches[i]).sum(1) >= least)
+        found.append(np.stack([np.full(len(j), i), j + i + 1], 1))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
 def linked(left: list, right: list | None, left_bands, right_bands, similarity: float):
@@ -168,10 +188,12 @@ def near_duplicates(docs: DataFrame, options: JoinOptions = JoinOptions()) -> Da
     rows of equal text. Texts without words (null, empty) only join their own copies. A text of fewer
     than ``words`` words is one n-gram. Equal texts meet once, as one representative.
 
-    Candidates: texts that share a band, grouped by connected candidate sets. A candidate set of up to
-    ``block`` texts is compared in one task. A larger one is cut into blocks by hash, each pair of blocks
-    is compared in a task of its own, so no task holds more than two blocks. Compared pairs stay inside
-    the task; only link counts and spanning edges leave it.
+    Candidates: texts that share a band hash meet in a cell. Cells of the same texts count once. In a cell
+    of up to ``block`` texts, pairs that their sketches rule out are no candidates, so chance hits don't
+    chain; a larger cell is taken whole. Connected candidates are verified on their full n-gram sets: up to
+    ``block`` texts in one task; more are cut into blocks by hash and each pair of blocks is compared in a
+    task of its own, so no task holds more than two blocks. Compared pairs stay inside the task; only link
+    counts and spanning edges leave it.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = narrow.withColumn("text_key", text_key(F.col("text")))
@@ -183,29 +205,60 @@ def near_duplicates(docs: DataFrame, options: JoinOptions = JoinOptions()) -> Da
 
         band = Bands(options)
         for batch in batches:
-            made = [band(g).tobytes() if len(g := shingles(t, options.words)) else None for t in utf8(batch, "text")]
+            made = [band(g) if len(g := shingles(t, options.words)) else None for t in utf8(batch, "text")]
             rest = [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text_key")]
-            assert np.dtype(np.int64).itemsize * bands >= 8
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(made, pa.binary())], names=["doc_id", "text_key", "sig"])
+            signs = [pa.array([m and m[i].tobytes() for m in made], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*rest, *signs], names=["doc_id", "text_key", "sig", "sketch"])
 
-    rows = written(keyed.mapInArrow(signed, "doc_id long, text_key string, sig binary"))
-    texts = written(rows.groupBy("text_key").agg(F.max("sig").alias("sig"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_copies")))
+    rows = written(keyed.mapInArrow(signed, "doc_id long, text_key string, sig binary, sketch binary"))
+    texts = rows.groupBy("text_key").agg(F.max("sig").alias("sig"), F.max("sketch").alias("sketch"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_copies"))
+    texts = written(texts)
 
-    signatures = texts.filter("sig is not null").select("text_key", "sig")
+    signatures = texts.filter("sig is not null").select("text_key", "sig", "sketch")
     cells = signatures.select(
         "text_key",
         F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.hex(F.substring("sig", i * 8 + 1, F.lit(8))))).alias("band", "h"),
     ).select("text_key", F.xxhash64("band", "h").alias("cell"))
-    shared = cells.groupBy("cell").agg(F.min("text_key").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    meets = cells.join(shared, "cell").select(F.col("text_key").alias("u"), "v")
-    candidate = written(components(meets).withColumnRenamed("node", "text_key"))
-    sizes = candidate.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    shared = cells.groupBy("cell").agg(
+        F.min("text_key").alias("v"), F.max("text_key").alias("w"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("text_key")).alias("all")
+    )
+    # cells of the same texts are one
+    shared = written(shared.filter("n > 1").groupBy("v", "w", "n", "all").agg(F.min("cell").alias("cell")).select("cell", "v", "n"))
+    held = skewed_join(cells, shared, "cell")
+    met = written(held.select("cell", "v", "n", "text_key"))
+    small = met.filter(F.col("n") <= options.block)
+    tasks = max(1, small.count() // 20_000)
+
+    def narrowed(table):
+        import numpy as np
+        import pyarrow as pa
+
+        order = np.argsort(table.column("cell").to_numpy(), kind="stable")
+        table = table.take(pa.array(order))
+        names = table.column("text_key").to_pylist()
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(names), -1)
+        cell = table.column("cell").to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+        edges = set()
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(names)], strict=True):
+            for i, j in stars(b - a, likely(sketches[a:b], options)):
+                edges.add((names[a + i], names[a + j]))
+        made = sorted(edges)
+        return pa.table({"u": pa.array([x for x, _ in made], pa.string()), "v": pa.array([y for _, y in made], pa.string())})
+
+    dealt_cells = small.join(signatures.select("text_key", "sketch").hint("merge"), "text_key").select("cell", "text_key", "sketch")
+    likely_edges = dealt_cells.groupBy(F.pmod(F.xxhash64("cell"), F.lit(tasks)).alias("t")).applyInArrow(narrowed, "u string, v string")
+    large = met.filter(F.col("n") > options.block).select(F.col("text_key").alias("u"), "v")
+    candidate = written(components(likely_edges.union(large)).withColumnRenamed("node", "text_key"))
+    forget(met, shared)
+    sizes = written(candidate.groupBy("component").agg(F.count(F.lit(1)).alias("members")))
     blocks = F.ceil(F.col("members") / options.block).cast("int")
     dealt = (
-        candidate.join(sizes, "component")
+        skewed_join(candidate, sizes, "component")
         .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "text_key"), F.col("blocks")).cast("int"))
-        .join(signatures, "text_key")
+        .join(texts.select("text_key", "sig", "least_id").hint("merge"), "text_key")
+        .withColumnRenamed("text_key", "k")
     )
 
     def grams(batches: Iterator) -> Iterator:
@@ -217,9 +270,9 @@ def near_duplicates(docs: DataFrame, options: JoinOptions = JoinOptions()) -> Da
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(made, pa.binary())], names=[*keep, "grams"])
 
-    # one row of each candidate text: the copy with the least doc_id (or any, where ids repeat or are null)
-    chosen = dealt.join(texts.select("text_key", "least_id"), "text_key")
-    one = keyed.join(chosen, "text_key").filter(F.col("doc_id").eqNullSafe(F.col("least_id")))
+    # one row of each candidate text: the copy with the least doc_id (or any, where ids repeat or are null);
+    # joined on text and id, so the copies of a text don't meet
+    one = keyed.join(dealt.hint("merge"), (F.col("text_key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("least_id")))
     sets = one.select("text_key", "component", "blocks", "block", "sig", "text").mapInArrow(
         grams, "text_key string, component string, blocks int, block int, sig binary, grams binary"
     )
@@ -262,29 +315,33 @@ def near_duplicates(docs: DataFrame, options: JoinOptions = JoinOptions()) -> Da
     links = written(paired.groupBy("component", "low", "high").applyInArrow(compare, "text_key string, root string, links long"))
     counted = links.groupBy("text_key").agg(F.sum("links").alias("n_links"))
     classes = components(links.select(F.col("text_key").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "text_key")
-    member = (
+    member = written(
         texts.select("text_key", "least_id", "n_copies")
-        .join(classes, "text_key", "left")
-        .join(counted, "text_key", "left")
+        .join(classes.hint("merge"), "text_key", "left")
+        .join(counted.hint("merge"), "text_key", "left")
         .withColumn("component", F.coalesce("component", "text_key"))
     )
-    heads = member.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    named = written(member.join(heads, "component").select("text_key", "component", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"))
-    return rows.select("doc_id", "text_key").join(named, "text_key")
+    heads = written(member.groupBy("component").agg(F.min("least_id").alias("class_id")))
+    named = skewed_join(member, heads, "component").select("text_key", "component", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    named = written(named)
+    forget(links, candidate, member, sizes, heads)
+    return skewed_join(rows.select("doc_id", "text_key"), named, "text_key")
 
 
 def keep_one(docs: DataFrame, options: JoinOptions = JoinOptions()) -> DataFrame:
-    """``docs`` with one row of each near-duplicate class: the least (doc_id, text); same columns.
+    """``docs`` with one row of each near-duplicate class: the least (doc_id, text); same columns, whatever their names.
 
-    Rows with a null doc_id come last in that order. Exactly repeated rows leave one.
+    Rows with a null doc_id come last in that order. Of rows equal in id and text, the one whose JSON form
+    has the least digest stays. Null texts and empty ones are one class; an empty table gives no rows.
     """
     found = written(near_duplicates(docs, options))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     kept = found.groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     kept = kept.groupBy("component").agg(F.min(F.struct(row.alias("row"), "n")).alias("k"))
-    kept = kept.select(F.col("k.row.doc_id").alias("_id"), F.col("k.row.text_key").alias("_key"), F.col("k.n").alias("_n"))
-    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
-    same = (F.col("_text_key") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-    joined = keyed.join(kept, same)
-    single = joined.filter("_n = 1").select(*docs.columns)
-    return single.unionByName(joined.filter("_n > 1").dropDuplicates(["_text_key"]).select(*docs.columns))
+    kept = kept.select(F.col("k.row.doc_id").alias("id"), F.col("k.row.text_key").alias("k"), "k.n")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(whole.alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"))
+    joined = packed.join(kept.hint("merge"), (F.col("text_key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    single = joined.filter("n = 1").select("whole.*")
+    again = joined.filter("n > 1").groupBy("text_key", "doc_id").agg(F.min_by("whole", F.md5(F.to_json("whole").cast("binary"))).alias("whole"))
+    return single.union(again.select("whole.*"))
