@@ -26,7 +26,8 @@ class Band:
 
 @dataclass(frozen=True)
 class QualityOptions:
-    """``bands`` hold for whole texts by their length; ``chunk_low``/``chunk_high`` for every full chunk.
+    """``bands`` hold for whole texts by their length; ``chunk_low``/``chunk_high`` for every chunk of
+    ``chunk`` bytes; the last chunk ends with the text, so it may overlap the one before and no byte is left out.
 
     Short texts carry frame overhead and little history, hence the wide bands there. A text is
     rejected as soon as the whole or any chunk leaves its band.
@@ -92,14 +93,15 @@ def dup_lines(text: bytes) -> int:
 
 
 def verdict(text: bytes, options: QualityOptions, pack) -> tuple[float, float | None, float | None, str]:
-    """Whole ratio, least and most chunk ratio, and the reason for a rejection (or empty)."""
+    """Whole ratio, least and most chunk ratio, and the reason for a rejection (or empty).
+
+    A text shorter than a chunk has no chunk; its whole ratio has the band of its length.
+    """
     whole = len(pack(text)) / max(1, len(text))
     least = most = None
-    for at in range(0, len(text), options.chunk):
-        piece = text[at : at + options.chunk]
-        if len(piece) < options.chunk:  # a shorter rest has other ratios; the whole text covers it
-            break
-        ratio = len(pack(piece)) / options.chunk
+    last = len(text) - options.chunk
+    for at in [*range(0, last, options.chunk), last] if last >= 0 else []:
+        ratio = len(pack(text[at : at + options.chunk])) / options.chunk
         least, most = min(ratio, least or ratio), max(ratio, most or ratio)
     band = next(b for b in options.bands if len(text) <= b.up_to)
     if whole < band.low or least is not None and least < options.chunk_low:
@@ -145,7 +147,10 @@ def quality_rules(docs: DataFrame, options: QualityOptions = QualityOptions()) -
 
 
 def keep_good(docs: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
-    """The rows of ``docs`` that pass all rules, with the same columns."""
+    """The rows of ``docs`` that pass all rules, with the same columns, whatever their names.
+
+    Null and empty texts fail the base rule; repeated rows are judged alike; an empty table gives no rows.
+    """
 
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
