@@ -1,96 +1,152 @@
-"""Token counts from pre-token frequencies: pieces are counted once per distinct pre-token."""
+"""Token counts from pre-token frequencies: pieces are counted once per distinct pre-token of the corpus."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import forget, skewed_join, utf8, written
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 #: The pre-token pattern of byte-level BPE (fixed value; the vocabulary was built with it).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Bounds of the broadcast table of the most frequent pre-tokens: their number, and UTF-8 bytes of each.
+HEAD = 60_000
+HEAD_BYTES = 48
 
-class PreTokenCounts:
-    """Pieces of each distinct pre-token, counted once and remembered.
 
-    ``most`` bounds the remembered pre-tokens; past it the table starts anew, which costs time only.
-    """
+class PreTokens:
+    """Cuts texts into pre-tokens as the tokenizer of a byte-level BPE file does; a special string is one token."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str):
         import json
 
         import regex
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             form = json.load(file)
         pre = form.get("pre_tokenizer") or {}
-        if form.get("normalizer") or form.get("post_processor") or pre != pre | {
-            "type": "ByteLevel", "add_prefix_space": False, "use_regex": True,
-        }:
+        added = form.get("added_tokens", [])
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        odd = any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip"))
+        if form.get("normalizer") or form.get("post_processor") or pre != pre | plain or odd:
             raise ValueError("pre-token counts need a plain byte-level BPE file")
-        self.special = [t["content"] for t in form.get("added_tokens", [])]
+        special = sorted((t["content"] for t in added), key=len, reverse=True)
+        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.split = regex.compile(PATTERN).findall
-        self.pieces: dict[str, int] = {}
-        self.most = most
-
-    def __call__(self, texts: list[str]) -> list[int]:
-        """Tokens of each text. Texts that hold a special string are encoded as a whole."""
-        plain = [not any(s in t for s in self.special) for t in texts]
-        parts = [self.split(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
-        new: dict[str, None] = {}
-        for words in parts:
-            new.update(dict.fromkeys(words))
-        fresh = [w for w in new if w not in self.pieces]
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            for word, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self.pieces[word] = len(found)
-        pieces = self.pieces.__getitem__
-        counts = [sum(map(pieces, words)) for words in parts]
-        for i, ok in enumerate(plain):
-            if not ok:
-                counts[i] = len(self.tokenizer.encode(texts[i], add_special_tokens=False))
-        return counts
-
-
-def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, step_bytes: int = 4 << 20) -> DataFrame:
-    """Bytes and tokens of every row of ``docs``; ``tokenizer`` is the path of a byte-level BPE file.
 
-    Null text is empty: 0 bytes, 0 tokens. Repeated rows are rows of their own, further columns are
-    ignored. Each task keeps its own table of distinct pre-tokens and joins it to the pre-tokens of its
-    documents, so neither ids nor (document, pre-token) rows are ever shuffled.
-    """
+    def __call__(self, text: str) -> tuple[list[str], int]:
+        """(pre-tokens, number of special strings)."""
+        if self.special is None or not self.special.search(text):
+            return self.split(text), 0
+        parts = self.special.split(text)
+        return [w for part in parts for w in self.split(part)], len(parts) - 1
+
+
+def _digest():
+    import xxhash
+
+    return lambda word: xxhash.xxh3_128_digest(word.encode())
+
+
+def pre_token_counts(docs: DataFrame, tokenizer: str, most: int = 200_000) -> DataFrame:
+    """(word, n): every distinct pre-token of the corpus and how often it stands there. A task adds up its
+    own first; one that holds more than ``most`` sends them on and starts anew."""
+
+    def scan(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        cut, counts = PreTokens(tokenizer), Counter()
+
+        def out() -> pa.RecordBatch:
+            arrays = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, names=["word", "n"])
+
+        for batch in batches:
+            for text in utf8(batch, "text"):
+                counts.update(cut(text.decode("utf-8", "replace"))[0])
+                if len(counts) > most:
+                    yield out()
+                    counts.clear()
+        yield out()
+
+    return docs.select("text").mapInArrow(scan, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def pieces(words: DataFrame, tokenizer: str) -> DataFrame:
+    """``words`` (word, n) with the digest of the word and its number of pieces: each is encoded once in all."""
 
     def scan(batches: Iterator) -> Iterator:
         import os
 
         import pyarrow as pa
+        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        count = PreTokenCounts(tokenizer)
+        encode, digest = Tokenizer.from_file(tokenizer).encode_batch, _digest()
+        for batch in batches:
+            some = batch.column(batch.schema.get_field_index("word")).to_pylist()
+            found = [len(e) for e in encode(some, add_special_tokens=False)]
+            arrays = [*batch.columns, pa.array(map(digest, some), pa.binary()), pa.array(found, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["word", "n", "digest", "pieces"])
+
+    return words.select("word", "n").mapInArrow(scan, "word string, n long, digest binary, pieces int")
+
+
+def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFrame:
+    """Bytes and tokens of every row of ``docs``; ``tokenizer`` is the path of a byte-level BPE file.
+
+    Null text is empty: 0 bytes, 0 tokens. Repeated rows and null ids are rows of their own, further columns
+    are ignored, an empty table gives no rows.
+
+    First the distinct pre-tokens of the corpus are counted and each is cut into pieces once. Then they are
+    joined to the pre-token frequencies of the documents. The most frequent ones, bounded in number and
+    bytes and so broadcast, meet the frequencies where these are made, and leave one sum per document; the
+    rest of a document's frequencies (none with more than 1 / ``HEAD`` of all occurrences, but for long ones) are
+    exchanged by pre-token and summed. Token ids exist only inside ``pieces``.
+    """
+    spark = docs.sparkSession
+    words = written(pieces(pre_token_counts(docs, tokenizer), tokenizer))
+    often = words.filter(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD)
+    head = spark.sparkContext.broadcast({r[0]: r[1] for r in often.select("word", "pieces").collect()})
+
+    def scan(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        cut, known, digest = PreTokens(tokenizer), head.value, _digest()
         for batch in batches:
             raw = utf8(batch, "text")
-            tokens: list[int] = []
-            some: list[str] = []
-            held = 0
+            sums, digests, times = [], [], []
             for text in raw:
-                some.append(text.decode("utf-8", "replace"))
-                held += len(text)
-                if held >= step_bytes:
-                    tokens += count(some)
-                    some, held = [], 0
-            tokens += count(some)
+                found, total = cut(text.decode("utf-8", "replace"))
+                rare: Counter = Counter()
+                for word, n in Counter(found).items():
+                    if (size := known.get(word)) is not None:
+                        total += size * n
+                    else:
+                        rare[digest(word)] = n
+                sums.append(total)
+                digests.append(list(rare))
+                times.append(list(rare.values()))
             ids = batch.column(batch.schema.get_field_index("doc_id"))
-            arrays = [ids, pa.array(map(len, raw), pa.int64()), pa.array(tokens, pa.int64())]
-            arrays.append(pa.array([t > limit for t in tokens], pa.bool_()))
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
-
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(scan, SCHEMA)
+            arrays = [ids, pa.array(map(len, raw), pa.int64()), pa.array(sums, pa.int64())]
+            arrays += [pa.array(digests, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "common", "digests", "times"])
+
+    made = docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
+        scan, "doc_id long, n_bytes long, common long, digests array<binary>, times array<int>"
+    )
+    # rows get a number when they are written: ids may repeat or be null
+    rows = written(made.withColumn("row", F.monotonically_increasing_id()))
+    rare = rows.select("row", F.explode(F.arrays_zip("digests", "times")).alias("e")).select("row", F.col("e.digests").alias("digest"), F.col("e.times").alias("times"))
+    sums = skewed_join(rare, words.select("digest", "pieces"), "digest").groupBy("row").agg(F.sum(F.col("pieces") * F.col("times")).alias("rest"))
+    sums = written(sums)
+    total = F.col("common") + F.coalesce("rest", F.lit(0))
+    done = rows.select("row", "doc_id", "n_bytes", "common").join(sums.hint("merge"), "row", "left")
+    forget(words)
+    return done.select("doc_id", "n_bytes", total.alias("n_tokens"), (total > limit).alias("over_limit"))
