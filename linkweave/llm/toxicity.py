@@ -6,10 +6,10 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import forget, utf8, written
 
 SCHEMA = "doc_id long, severity int, expected_severity double, p_toxic double, toxic boolean"
 
@@ -24,12 +24,14 @@ def words_of(text: bytes) -> set[bytes]:
 @dataclass(frozen=True)
 class TrainOptions:
     """``sample``: bound of labelled rows used for fitting; ``features``: words kept (by a two-class
-    score on the sample, at least ``min_docs`` documents each); ``penalty``: L1 weight, over the root of
-    the number of fitted rows; ``ridge``: L2 weight, over that number, of the second fit."""
+    score on the sample, at least ``min_docs`` documents each, at most ``word_bytes`` long); ``penalty``: L1
+    weight, over the root of the number of fitted rows; ``ridge``: L2 weight, over that number, of the second
+    fit; of every ``holdout`` sampled rows one sets the decision limit and one is only measured."""
 
     sample: int = 8000
     features: int = 1024
     min_docs: int = 5
+    word_bytes: int = 64
     penalty: float = 0.07
     ridge: float = 0.1
     steps: int = 500
@@ -38,7 +40,10 @@ class TrainOptions:
 
 @dataclass
 class OrdinalModel:
-    """P(grade >= j) = sigmoid(score - cuts[j-1]); one weight per word for all thresholds, rising cuts."""
+    """P(grade >= j) = sigmoid(score - cuts[j-1]); one weight per word for all thresholds, rising cuts.
+
+    The chance of a grade is the difference of two neighbouring sigmoids.
+    """
 
     weights: dict[bytes, float] = field(default_factory=dict)
     cuts: list[float] = field(default_factory=lambda: [4.0, 8.0])
@@ -62,163 +67,202 @@ class OrdinalModel:
         return OrdinalModel({bytes.fromhex(w): x for w, x in form["weights"].items()}, form["cuts"], form["threshold"])
 
 
-def graded(texts: list[bytes], toxic: list[int], min_docs: int = 5) -> list[int]:
-    """Severity grades: 0 not toxic; toxic texts get 2 if they hold more than the median number of marker
-    words, else 1. Markers are words of at least ``min_docs`` toxic texts that are 8 times as frequent there."""
-    seen = [words_of(t) for t in texts]
-    counts: dict[bytes, list[int]] = {}
-    for words, flag in zip(seen, toxic, strict=True):
-        for w in words:
-            counts.setdefault(w, [0, 0])[flag > 0] += 1
-    yes, no = max(1, sum(f > 0 for f in toxic)), max(1, sum(f == 0 for f in toxic))
-    markers = {w for w, n in counts.items() if n[1] >= min_docs and n[1] / yes >= 8 * n[0] / no}
-    held = [len(words & markers) for words in seen]
-    some = sorted(h for h, flag in zip(held, toxic, strict=True) if flag)
-    middle = some[len(some) // 2] if some else 0
-    return [(1 + (h > middle)) if flag else 0 for h, flag in zip(held, toxic, strict=True)]
-
-
-def fit(texts: list[bytes], grades: list[int], options: TrainOptions = TrainOptions()) -> OrdinalModel:
-    """Proportional-odds fit: words that raise severity are chosen by a soft threshold, then weighted."""
+def _ordinal(margin, y, cuts):
+    """Log-likelihood of grades ``y`` at scores ``margin`` and, per row, its derivatives in the sigmoid
+    arguments above (``u``) and below (``l``): the chance of grade k is sigmoid(u) - sigmoid(l) with
+    u = margin - cuts[k-1] and l = margin - cuts[k]; grade 0 has no u, the top grade no l."""
     import numpy as np
 
-    top = max([2, *grades])
-    y = np.array(grades, np.int64)
-    seen = [words_of(t) for t in texts]
-    counts: dict[bytes, list[int]] = {}
-    for words, grade in zip(seen, grades, strict=True):
-        for w in words:
-            counts.setdefault(w, [0, 0])[grade > 0] += 1
-    positive, negative = max(1, int((y > 0).sum())), max(1, int((y == 0).sum()))
-    if not texts or (y > 0).sum() == 0 or (y == 0).sum() == 0:
-        return OrdinalModel(cuts=[4.0 + 4 * j for j in range(top)])
-
-    def gain(n: list[int]) -> float:
-        a, b = n[1] / positive, n[0] / negative
-        mean = (n[0] + n[1]) / len(y)
-        return abs(a - b) / (mean * (1 - mean) * (1 / positive + 1 / negative) + 1e-12) ** 0.5
-
-    often = [(gain(n), w) for w, n in counts.items() if sum(n) >= options.min_docs]
-    chosen = [w for _, w in sorted(often, key=lambda x: (-x[0], x[1]))[: options.features]]
-    place = {w: i for i, w in enumerate(chosen)}
-    x = np.zeros((len(texts), len(chosen)), np.float32)
-    for row, words in enumerate(seen):
-        for w in words:
-            if (i := place.get(w)) is not None:
-                x[row, i] = 1
-    share = [min(max(float((y >= j).mean()), 1e-4), 1 - 1e-4) for j in range(1, top + 1)]
-    base = np.array([-np.log(p / (1 - p)) for p in share])
-    base = np.maximum.accumulate(base + 1e-3 * np.arange(top))
-    reach = (y[:, None] >= np.arange(1, top + 1)).astype(float)
-
-    def descend(x, soft: float, ridge: float):
-        """Accelerated proximal gradient over all thresholds' logistic terms; (shared weights, cuts)."""
-        w, cuts = np.zeros(x.shape[1]), base.copy()
-        step = 4.0 / (top * (1 + max(1.0, float((x * x).sum(1).mean()))))
-        look, before, t = w.copy(), w.copy(), 1.0
-        for _ in range(options.steps):
-            error = 1 / (1 + np.exp(-np.clip((x @ look.astype(np.float32))[:, None] - cuts, -30, 30))) - reach
-            slope = (x.T @ error.sum(1).astype(np.float32)) / len(y) + ridge * look
-            w = look - step * slope
-            w = np.sign(w) * np.maximum(np.abs(w) - step * soft, 0)
-            cuts = np.maximum.accumulate(cuts + step * error.mean(0))
-            after = (1 + (1 + 4 * t * t) ** 0.5) / 2
-            look, before, t = w + (t - 1) / after * (w - before), w, after
-        return w, cuts
-
-    # the soft threshold chooses the words; their weights are then fitted again without its shrinkage
-    w, _ = descend(x, options.penalty / len(y) ** 0.5, 0.0)
-    support = np.flatnonzero(w > 0)
-    w, cuts = _newton(x[:, support].astype(float), reach, base, options.ridge / len(y))
-    chosen = [chosen[i] for i in support]
-    weights = {c: float(v) for c, v in zip(chosen, w, strict=True) if v}
-    return OrdinalModel(weights, [float(c) for c in cuts])
-
-
-def _newton(x, reach, base, ridge: float, rounds: int = 40):
-    """Damped Newton steps for shared weights and cuts; few words are left here, so the matrix is small."""
+    top = len(cuts)
+    has_u, has_l = y > 0, y < top
+    u = np.where(has_u, margin - cuts[np.maximum(y - 1, 0)], 500.0)
+    low = np.where(has_l, margin - cuts[np.minimum(y, top - 1)], -500.0)
+    # sigmoid(u) - sigmoid(l) = sigmoid(u) * sigmoid(-l) * (1 - exp(l - u)), without cancellation
+    log_p = -np.logaddexp(0, -u) - np.logaddexp(0, low) + np.log(-np.expm1(np.minimum(low - u, -1e-12)))
+    su, sl = 1 / (1 + np.exp(-np.clip(u, -500, 500))), 1 / (1 + np.exp(-np.clip(low, -500, 500)))
+    p = np.exp(np.maximum(log_p, -600))
+    du, dl = np.where(has_u, su * (1 - su), 0.0), np.where(has_l, sl * (1 - sl), 0.0)
+    fu, fl = du / p, -dl / p
+    fuu, fll, ful = du * (1 - 2 * su) / p - fu * fu, -dl * (1 - 2 * sl) / p - fl * fl, -fu * fl
+    return log_p, fu, fl, fuu, fll, ful
+
+
+def fit(x, grades: list[int], options: TrainOptions = TrainOptions()):
+    """(weights, cuts) of the cumulative-link model over the 0/1 table ``x``, by maximum likelihood.
+
+    Words are chosen by proximal gradient steps with a soft threshold on their weights; weights and cuts
+    are then fitted again on the chosen ones by damped Newton steps without that shrinkage.
+    """
     import numpy as np
 
-    n, p = x.shape
-    top = reach.shape[1]
-    at = np.concatenate((np.zeros(p), base))
-    small = np.concatenate((np.full(p, ridge), np.full(top, ridge)))
+    y = np.array(grades, np.int64)
+    top = max(1, int(y.max()) if len(y) else 1)
+    if not len(y) or (y > 0).all() or not (y > 0).any():
+        return np.zeros(x.shape[1]), np.array([4.0 + 4 * j for j in range(top)])
+    share = np.clip([(y >= j).mean() for j in range(1, top + 1)], 1e-4, 1 - 1e-4)
+    base = np.maximum.accumulate(-np.log(share / (1 - share))) + 1e-2 * np.arange(top)
+    n = len(y)
+
+    def cut_slopes(fu, fl):
+        """Slopes of the log-likelihood in the cuts."""
+        out = np.zeros(top)
+        np.add.at(out, np.maximum(y - 1, 0), -fu * (y > 0))
+        np.add.at(out, np.minimum(y, top - 1), -fl * (y < top))
+        return out
+
+    w, cuts, look, t = np.zeros(x.shape[1], np.float32), base.copy(), np.zeros(x.shape[1], np.float32), 1.0
+    step = 4.0 / (1 + max(1.0, float(x.sum(1).mean()))) / 2
+    soft = options.penalty / n**0.5
+    for _ in range(options.steps):
+        _, fu, fl, *_ = _ordinal((x @ look).astype(float), y, cuts)
+        moved = look + step * (x.T @ (fu + fl).astype(np.float32)) / n
+        moved = np.sign(moved) * np.maximum(np.abs(moved) - step * soft, 0)
+        cuts = cuts + step * cut_slopes(fu, fl) / n
+        cuts = np.maximum.accumulate(cuts - 1e-3 * np.arange(top)) + 1e-3 * np.arange(top)
+        after = (1 + (1 + 4 * t * t) ** 0.5) / 2
+        look, w, t = moved + np.float32((t - 1) / after) * (moved - w), moved, after
+    support = np.flatnonzero(w)
+    small, p = x[:, support].astype(float), len(support)
+    at = np.concatenate((w[support].astype(float), cuts))
+    ridge = np.concatenate((np.full(p, options.ridge / n), np.full(top, options.ridge / n)))
     mid = np.concatenate((np.zeros(p), base))
 
     def loss(z) -> float:
-        margin = (x @ z[:p])[:, None] - z[p:]
-        return float((np.logaddexp(0, margin) - reach * margin).sum() / n + (small * (z - mid) ** 2).sum() / 2)
+        if (np.diff(z[p:]) <= 0).any():
+            return float("inf")
+        return float(-_ordinal(small @ z[:p], y, z[p:])[0].sum() / n + (ridge * (z - mid) ** 2).sum() / 2)
 
     now = loss(at)
-    for _ in range(rounds):
-        chance = 1 / (1 + np.exp(-np.clip((x @ at[:p])[:, None] - at[p:], -500, 500)))
-        error, curve = (chance - reach) / n, chance * (1 - chance) / n
-        slope = np.concatenate((x.T @ error.sum(1), -error.sum(0))) + small * (at - mid)
-        both = np.zeros((p + top, p + top))
-        both[:p, :p] = (x * curve.sum(1)[:, None]).T @ x
-        both[:p, p:] = -(x.T @ curve)
-        both[p:, :p] = both[:p, p:].T
-        both[p:, p:] = np.diag(curve.sum(0))
-        move = np.linalg.solve(both + np.diag(small + 1e-9), slope)
+    above, below = np.zeros((n, top)), np.zeros((n, top))
+    above[np.flatnonzero(y > 0), y[y > 0] - 1] = -1
+    below[np.flatnonzero(y < top), y[y < top]] = -1
+    for _ in range(40):
+        _, fu, fl, fuu, fll, ful = _ordinal(small @ at[:p], y, at[p:])
+        slope = -np.concatenate((small.T @ (fu + fl), cut_slopes(fu, fl))) / n + ridge * (at - mid)
+        curve = np.zeros((p + top, p + top))
+        curve[:p, :p] = (small * (fuu + 2 * ful + fll)[:, None]).T @ small
+        curve[:p, p:] = small.T @ (above * (fuu + ful)[:, None] + below * (fll + ful)[:, None])
+        curve[p:, :p] = curve[:p, p:].T
+        cross = (above * ful[:, None]).T @ below
+        curve[p:, p:] = (above * fuu[:, None]).T @ above + (below * fll[:, None]).T @ below + cross + cross.T
+        move = np.linalg.solve(-curve / n + np.diag(ridge + 1e-9), slope)
         length = 1.0
-        while length > 1e-4 and loss(at - length * move) > now:
+        while length > 1e-4 and not loss(at - length * move) <= now:
             length /= 2
+        if length <= 1e-4:
+            break
         at = at - length * move
         before, now = now, loss(at)
         if before - now < 1e-10:
             break
-    return at[:p], np.maximum.accumulate(at[p:])
+    weights = np.zeros(x.shape[1])
+    weights[support] = at[:p]
+    return weights, at[p:]
+
+
+def grade_of(labels: DataFrame) -> Column:
+    """Ordered grade of a label row: 0 not toxic, else ``toxic``, and one more where the text is of low quality as well."""
+    toxic = F.col("toxic").cast("int")
+    worse = F.when(F.col("quality") == 0, 1).otherwise(0) if "quality" in labels.columns else F.lit(0)
+    return F.when(toxic > 0, toxic + worse).otherwise(0)
+
+
+@dataclass
+class Sample:
+    """Labelled rows over chosen words: ``x`` is 0/1, ``grades`` and ``fold`` are per row."""
+
+    words: list[bytes]
+    x: object
+    grades: list[int]
+    fold: list[int]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, options: TrainOptions) -> list[tuple[int, bytes, int]]:
-    """At most ``options.sample`` labelled documents by hash of their id: (doc_id, text, toxic).
+def labelled_sample(docs: DataFrame, labels: DataFrame, options: TrainOptions) -> Sample:
+    """At most ``options.sample`` labelled documents by hash of their id, as a table over the words with the
+    best two-class scores on the rows that are fitted.
 
-    Rows without a toxic label are left out; of several labels the highest holds. The bound makes the
-    broadcast and the collection constant.
+    Rows without a toxic label are left out; of several labels of an id the highest holds, of several texts the
+    least. Texts and words stay on the executors; the driver gets ``features`` words of bounded length and
+    one list of at most as many numbers per sampled row.
     """
+    import numpy as np
+
     picked = (
         labels.filter("toxic is not null and doc_id is not null")
-        .select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_grade"))
-        .groupBy("_id").agg(F.max("_grade").alias("_grade"))
-        .orderBy(F.xxhash64(F.lit("severity"), "_id"), "_id")
+        .select(F.col("doc_id").cast("long").alias("id"), grade_of(labels).alias("grade"))
+        .groupBy("id").agg(F.max("grade").alias("grade"))
+        .orderBy(F.xxhash64(F.lit("severity"), "id"), "id")
         .limit(options.sample)
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(picked), "_id")
-    texts = texts.orderBy(F.xxhash64(F.lit("severity"), "_id"), "_id", "text").limit(options.sample)
-    return [(r["_id"], (r["text"] or "").encode(), r["_grade"]) for r in texts.collect()]
+    place = F.row_number().over(Window.orderBy(F.xxhash64(F.lit("severity"), "id"), "id"))  # a bounded table
+    picked = written(picked.withColumn("fold", F.pmod(place - 1, F.lit(options.holdout))))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(picked), "id")
+    texts = texts.groupBy("id", "grade", "fold").agg(F.min("text").alias("text"))
 
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-def calibrated(model: OrdinalModel, rows: list[tuple[bytes, bool]]) -> float:
-    """The chance in [0.15, 0.5] from which on a text counts as toxic: best F1 on ``rows``, ties to the highest."""
-    chances = [(model.at_least(model.score(t))[0], flag) for t, flag in rows]
+        for batch in batches:
+            found = [[w for w in words_of(t) if len(w) <= options.word_bytes] for t in utf8(batch, "text")]
+            arrays = [batch.column(i) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, pa.list_(pa.binary()))], names=["id", "grade", "fold", "words"])
+
+    rows = written(texts.select("id", "grade", "fold", "text").mapInArrow(cut, "id long, grade int, fold int, words array<binary>"))
+    fitted = rows.filter("fold > 1")
+    positive, total = fitted.agg(F.count_if(F.col("grade") > 0), F.count(F.lit(1))).first()
+    negative = max(1, total - positive)
+    positive = max(1, positive)
+    counts = fitted.select("grade", F.explode("words").alias("word")).groupBy("word").agg(F.count_if(F.col("grade") > 0).alias("a"), F.count_if(F.col("grade") == 0).alias("b"))
+    mean = (F.col("a") + F.col("b")) / max(1, total)
+    gain = F.abs(F.col("a") / positive - F.col("b") / negative) / F.sqrt(mean * (1 - mean) * (1 / positive + 1 / negative) + 1e-12)
+    often = counts.filter(F.col("a") + F.col("b") >= options.min_docs).select("word", F.round(gain, 9).alias("gain"))
+    words = [bytes(r["word"]) for r in often.orderBy(F.desc("gain"), "word").limit(options.features).collect()]
+    chosen = docs.sparkSession.createDataFrame([(w, i) for i, w in enumerate(words)], "word binary, at int")
+    held = rows.select("id", F.explode("words").alias("word")).join(F.broadcast(chosen), "word").groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    found = rows.select("id", "grade", "fold").join(held, "id", "left").orderBy("id").collect()
+    forget(picked, rows)
+    x = np.zeros((len(found), len(words)), np.float32)
+    for i, r in enumerate(found):
+        x[i, r["at"] or []] = 1
+    return Sample(words, x, [r["grade"] for r in found], [r["fold"] for r in found])
+
+
+def calibrated(chances: list[float], toxic: list[bool]) -> float:
+    """The chance in [0.15, 0.5] from which on a text counts as toxic: best F1, ties to the highest."""
     best = (-1.0, 0.5)
     for i in range(15, 51):
         limit = i / 100
-        caught = sum(flag for c, flag in chances if c >= limit)
-        wrong = sum(not flag for c, flag in chances if c >= limit)
-        missed = sum(flag for c, flag in chances if c < limit)
-        f1 = 2 * caught / (2 * caught + wrong + missed) if caught else 0.0
+        caught = sum(flag for c, flag in zip(chances, toxic, strict=True) if c >= limit)
+        wrong = sum(not flag for c, flag in zip(chances, toxic, strict=True) if c >= limit)
+        f1 = 2 * caught / (caught + wrong + sum(toxic)) if caught else 0.0
         best = max(best, (round(f1, 9), limit))
     return best[1] if best[0] > 0 else 0.5
 
 
 def train(docs: DataFrame, labels: DataFrame, options: TrainOptions = TrainOptions()) -> tuple[OrdinalModel, dict]:
-    """Model and held-out figures. Of every ``holdout`` sampled documents one sets the decision limit and
-    one is only measured."""
-    rows = [(t, g > 0, i % options.holdout) for i, (_, t, g) in enumerate(labelled_sample(docs, labels, options))]
-    kept = [r for r in rows if r[2] > 1]
-    texts = [r[0] for r in kept]
-    model = fit(texts, graded(texts, [int(r[1]) for r in kept], options.min_docs), options)
-    model.threshold = calibrated(model, [r[:2] for r in rows if r[2] == 1])
-    held = [(model.at_least(model.score(t))[0] >= model.threshold, flag) for t, flag, fold in rows if fold == 0]
-    right = sum(a == b for a, b in held)
-    caught = sum(a and b for a, b in held)
+    """Model and held-out figures: for toxic or not accuracy, recall and precision; for grades the share of exact
+    ones and the mean distance of the expected severity, beside that of always saying the mean grade."""
+    import numpy as np
+
+    sample = labelled_sample(docs, labels, options)
+    fold, grades = np.array(sample.fold, np.int64), np.array(sample.grades, np.int64)
+    fitted = fold > 1
+    weights, cuts = fit(sample.x[fitted], grades[fitted].tolist(), options)
+    model = OrdinalModel({w: float(v) for w, v in zip(sample.words, weights, strict=True) if v}, [float(c) for c in cuts])
+    reached = 1 / (1 + np.exp(-np.clip((sample.x @ weights)[:, None] - cuts, -500, 500)))
+    model.threshold = calibrated(reached[fold == 1, 0].tolist(), (grades[fold == 1] > 0).tolist())
+    test = fold == 0
+    said, true = reached[test, 0] >= model.threshold, grades[test] > 0
+    grade = (reached[test] >= np.array([model.threshold] + [0.5] * (len(cuts) - 1))).cumprod(1).sum(1)
     return model, {
-        "train": len(kept),
-        "held_out": len(held),
-        "accuracy": right / max(1, len(held)),
-        "recall": caught / max(1, sum(b for _, b in held)),
-        "precision": caught / max(1, sum(a for a, _ in held)),
+        "train": int(fitted.sum()),
+        "held_out": int(test.sum()),
+        "accuracy": float((said == true).mean()) if test.any() else 0.0,
+        "recall": float((said & true).sum() / max(1, true.sum())),
+        "precision": float((said & true).sum() / max(1, said.sum())),
+        "exact_grade": float((grade == grades[test]).mean()) if test.any() else 0.0,
+        "distance": float(np.abs(reached[test].sum(1) - grades[test]).mean()) if test.any() else 0.0,
+        "distance_of_mean": float(np.abs(grades[fitted].mean() - grades[test]).mean()) if test.any() and fitted.any() else 0.0,
     }
 
 
@@ -238,7 +282,9 @@ def severity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
             columns: list[list] = [[] for _ in range(4)]
             for text in utf8(batch, "text"):
                 reached = own.at_least(own.score(text))
-                grade = sum(p >= (0.5 if j else own.threshold) for j, p in enumerate(reached))
+                grade = 0
+                while grade < len(reached) and reached[grade] >= (0.5 if grade else own.threshold):
+                    grade += 1
                 for column, value in zip(columns, (grade, sum(reached), reached[0], grade > 0), strict=True):
                     column.append(value)
             ids = batch.column(batch.schema.get_field_index("doc_id"))
