@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_key, utf8, written
+from .common import skewed_join, text_key, utf8, written
 
 
 @dataclass(frozen=True)
@@ -418,8 +418,8 @@ def remove_repeats(docs: DataFrame, options: RepeatOptions = RepeatOptions(), wi
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_key(F.col("text")))
     copies = keyed.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     spans = repeat_spans(docs, options)
-    found = spans.join(copies, "text_key", "full").select(F.col("text_key").alias("k"), "spans", "copies")
-    rows = keyed.join(found, F.col("text_key") == F.col("k"), "left").select("doc_id", "text", "spans", "copies")
+    found = spans.join(copies, "text_key", "full")
+    rows = skewed_join(keyed, written(found), "text_key", "left").select("doc_id", "text", "spans", "copies")
 
     def cut(batches: Iterator) -> Iterator:
         import numpy as np
