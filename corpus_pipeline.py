@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkweave.llm import decontaminate, mixing, ngram_join, quality, sharding
 from linkweave.llm.common import written
@@ -19,18 +21,28 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages: spans are cut out, mostly contaminated documents go."""
+    """Documents without benchmark passages: spans are cut out; a document with more than a fifth of its words in them goes."""
     return decontaminate.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the temperature mix places them."""
+    """Documents as often as the temperature mix places them, block by block and permuted inside a block."""
     return mixing.mix_rows(docs)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every placed document with its shard and slot."""
-    return sharding.shard_documents(docs, shards=16)
+    """Every placed document with its shard and slot; slots follow the mix."""
+    return sharding.shard_documents(docs, shards=16, order=file_order(docs))
+
+
+def file_order(docs: DataFrame) -> tuple[Column, Column] | None:
+    """(file, row in the file) of ``docs``: the order in which the stage before wrote them. None if it isn't read from files."""
+    name = F.col("_metadata.file_name")
+    try:
+        docs.select(name, "_metadata.row_index")
+    except AnalysisException:
+        return None
+    return F.struct(F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("part"), name.alias("name")), F.col("_metadata.row_index")
 
 
 STAGES = [
@@ -41,6 +53,11 @@ STAGES = [
     ("sharding", sharding_stage),
 ]
 
+# Every stage: null and empty texts fail the quality rules, so later stages see none from ``run``; given some, near
+# duplicates keep one of them, decontamination keeps them, a source of nothing else has no place in the mix, and
+# sharding places them. Repeated rows are rows of their own but in near duplicates, which leave one. An empty
+# table gives none; further columns are carried along by all stages but the last, whatever their names.
+
 #: Compression ratios and MinHash bands have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
