@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
-from ..kernels.assembly import AssembleOptions
+from ..kernels.assembly import AssembleOptions, JunctionOptions
 from ..operators import assemble, calibration, demux, fragments, intervals, metrics, phasing, placement
 from ..streaming import sessions
 
@@ -654,17 +654,78 @@ def n50(spark: SparkSession, d: str) -> DataFrame:
     return phasing.n50(_table(spark, d, "documents").select(F.col("lang").alias("grp"), F.col("n_chars").alias("span"), F.col("doc_id").alias("tie")), by="grp")
 
 
-@_query()
+def _marked_alleles(spark: SparkSession, d: str) -> DataFrame:
+    """Alleles over three chromosomes; some of both haplotypes are missing."""
+    part = lambda n: F.col("l_quantity").cast("long") % n == 0
+    rows = _alleles(spark, d).drop("chrom")
+    marks = _table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("block"), "l_linenumber", F.col("l_partkey").alias("pos"), "l_suppkey", part(11).alias("no_a"), part(13).alias("no_t")
+    )
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("block").orderBy("l_linenumber", "pos", "l_suppkey")
+    marks = marks.select("block", F.row_number().over(order).cast("long").alias("ord"), "no_a", "no_t")
+    return rows.join(marks, ["block", "ord"]).select(
+        F.concat(F.lit("chr"), (F.col("block") % 3 + 1).cast("string")).alias("chrom"), "block", "ord", "pos",
+        F.when(F.col("no_a"), "-").otherwise(F.col("a1").cast("string")).alias("a1"), F.when(F.col("no_t"), "-").otherwise(F.col("t1").cast("string")).alias("t1"),
+    )
+
+
+_MARKED_SQL = """al AS (SELECT 'chr' || (l_orderkey % 3 + 1) AS chrom, l_orderkey AS block, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS ord, l_partkey AS pos,
+  CASE WHEN CAST(floor(l_quantity) AS BIGINT) % 11 = 0 THEN '-' ELSE CAST(l_partkey % 2 AS VARCHAR) END AS a1, CASE WHEN CAST(floor(l_quantity) AS BIGINT) % 13 = 0 THEN '-' ELSE CAST(l_suppkey % 2 AS VARCHAR) END AS t1 FROM lineitem)"""
+_SWITCH_SQL = f"""{_MARKED_SQL}, kn AS (SELECT chrom, block, ord, a1 <> t1 AS bit, row_number() OVER (PARTITION BY block ORDER BY ord) AS n, count(*) OVER (PARTITION BY block) AS total FROM al WHERE a1 <> '-' AND t1 <> '-'),
+ch AS (SELECT *, CASE WHEN n > 1 AND bit <> lag(bit) OVER (PARTITION BY block ORDER BY ord) THEN 1 ELSE 0 END AS c, ord - lag(ord) OVER (PARTITION BY block ORDER BY ord) > 1 AS gap FROM kn),
+nr AS (SELECT *, sum(1 - c) OVER (PARTITION BY block ORDER BY ord) AS run FROM ch),
+ru AS (SELECT block, run, count(*) + CASE WHEN min(n) = 2 THEN (coalesce(min(CASE WHEN gap THEN n END), max(n) + 1) - 2) % 2 ELSE 0 END AS len, max(n) = max(total) AS ends FROM nr WHERE c = 1 GROUP BY 1, 2),
+er AS (SELECT block, sum(CASE WHEN ends THEN 0 ELSE len % 2 END) AS sw, sum(len // 2 + CASE WHEN ends THEN len % 2 ELSE 0 END) AS mm FROM ru GROUP BY 1),
+se AS (SELECT b.chrom, b.block, CAST(coalesce(sw, 0) AS BIGINT) AS switches, CAST(coalesce(mm, 0) AS BIGINT) AS mismatches FROM (SELECT DISTINCT chrom, block FROM al) b LEFT JOIN er USING (block))"""
+
+
+@_query(f"WITH {_SWITCH_SQL} SELECT * FROM se")
 def switch_error(spark: SparkSession, d: str) -> DataFrame:
-    return phasing.switch_errors(_alleles(spark, d))
+    return phasing.switch_errors(_marked_alleles(spark, d))
 
 
-@_query()
+@_query(
+    f"""WITH {_SWITCH_SQL}, pl AS (SELECT chrom, block, count(*) AS n, sum(CAST(a1 <> t1 AS INT)) AS w FROM al WHERE a1 <> '-' AND t1 <> '-' GROUP BY 1, 2),
+j AS (SELECT se.*, coalesce(n, 0) AS n, coalesce(w, 0) AS w FROM se LEFT JOIN pl USING (chrom, block)), t AS (SELECT * FROM j UNION ALL SELECT 'total', block, switches, mismatches, n, w FROM j)
+SELECT chrom, round(sum(switches) / sum(greatest(n - 3, 0)), 6) AS switch_rate, round(sum(mismatches) / sum(CASE WHEN n >= 2 THEN n ELSE 0 END), 6) AS mismatch_rate,
+  round(sum(switches + mismatches) / sum(CASE WHEN n >= 2 THEN n ELSE 0 END), 6) AS combined_rate, round(sum(least(w, n - w)) / sum(CASE WHEN n >= 2 THEN n ELSE 0 END), 6) AS flat_rate FROM t GROUP BY 1"""
+)
 def phasing_rates(spark: SparkSession, d: str) -> DataFrame:
-    alleles = _alleles(spark, d)
+    alleles = _marked_alleles(spark, d)
     return phasing.phasing_rates(phasing.switch_errors(alleles), phasing.opportunities(alleles), phasing.flat_error(alleles))
 
 
+@_query(
+    f"""WITH {_MARKED_SQL}, sz AS (SELECT chrom, count(*) AS n_snps, count(*) AS n_covered, CAST(sum(pos) AS BIGINT) AS length FROM al GROUP BY 1),
+sp AS (SELECT chrom, block, count(*) AS phased, arg_max(pos, ord) - arg_min(pos, ord) AS span, round((arg_max(pos, ord) - arg_min(pos, ord)) * count(*) / (max(ord) - min(ord) + 1), 6) AS adjusted FROM al WHERE a1 <> '-' GROUP BY 1, 2),
+pt AS (SELECT chrom, n_snps, n_covered, length, (SELECT sum(phased) FROM sp WHERE sp.chrom = sz.chrom) AS phased, (SELECT max(phased) FROM sp WHERE sp.chrom = sz.chrom) AS top FROM sz),
+tt AS (SELECT chrom, sum(n_snps) AS n_snps, sum(n_covered) AS n_covered, sum(length) AS length, sum(phased) AS phased, sum(top) AS top FROM (SELECT * FROM pt UNION ALL SELECT 'total', n_snps, n_covered, length, phased, top FROM pt) GROUP BY 1),
+sb AS (SELECT * FROM sp UNION ALL SELECT 'total', block, phased, span, adjusted FROM sp),
+an AS (SELECT chrom, adjusted, sum(phased) OVER (PARTITION BY chrom ORDER BY adjusted DESC, phased DESC, block ROWS UNBOUNDED PRECEDING) AS r FROM sb),
+n5 AS (SELECT chrom, span, sum(span) OVER (PARTITION BY chrom ORDER BY span DESC, block ROWS UNBOUNDED PRECEDING) AS r FROM sb)
+SELECT chrom, CAST(phased AS BIGINT) AS phased, round(1 - phased / n_covered, 6) AS missing_rate, coalesce((SELECT max(adjusted) FROM an WHERE an.chrom = tt.chrom AND 2 * r > n_snps), 0) AS an50,
+  CAST(coalesce((SELECT max(span) FROM n5 WHERE n5.chrom = tt.chrom AND 2 * r > length), 0) AS BIGINT) AS n50, round(top / n_snps, 6) AS max_block_share FROM tt"""
+)
+def phasing_completeness(spark: SparkSession, d: str) -> DataFrame:
+    alleles = _marked_alleles(spark, d)
+    n = F.count(F.lit(1))
+    sizes = alleles.groupBy("chrom").agg(n.alias("n_snps"), n.alias("n_covered"), F.sum("pos").alias("length"))
+    return phasing.completeness(alleles, sizes)
+
+
+@_query(
+    f"""WITH {_ALLELES_SQL}, vc AS (SELECT ord, min(pos) AS p FROM al GROUP BY 1)
+SELECT 'chr1' AS chrom, block, al.ord, a1, p AS pos, CAST(block % 2 = 0 AND al.pos <> p AS INT) AS conflict FROM al JOIN vc USING (ord)"""
+)
+def block_positions(spark: SparkSession, d: str) -> DataFrame:
+    alleles = _alleles(spark, d)
+    variants = alleles.groupBy("chrom", "ord").agg(F.min("pos").alias("pos"))
+    own = F.when(F.col("block") % 2 == 0, F.col("pos"))
+    return phasing.numbered_snps(alleles.select("chrom", "block", "ord", "a1", own.alias("pos")), variants)
+
+
 # --- kernels ------------------------------------------------------------------------------------------------------
 
 
@@ -685,7 +746,8 @@ def pool_components(spark: SparkSession, d: str) -> DataFrame:
 
 @_query()
 def junction_profile(spark: SparkSession, d: str) -> DataFrame:
-    return assemble.junction_qc(_molecules(spark, d).withColumnRenamed("target_id", "contig_ix"), _molecule_reads(spark, d))
+    options = JunctionOptions(margin=10, edge=15, window=20, smooth=11)
+    return assemble.junction_qc(_molecules(spark, d).withColumnRenamed("target_id", "contig_ix"), _molecule_reads(spark, d), options)
 
 
 @_query(
