@@ -1,11 +1,15 @@
 """Report readers and writers, and run options."""
 
+import gzip
+import random
+
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from linkweave import options
 from linkweave.functions import seq as S
-from linkweave.sources import reports
+from linkweave.sources import reports, text
 
 
 def _file(tmp_path, name, *lines):
@@ -81,3 +85,59 @@ def test_names(spark):
         S.read_identity(F.lit("r1#bc/1")).alias("a"), S.read_identity(F.lit("r1")).alias("b"), S.spike_id(F.lit("none")).alias("c"), S.motif_place(F.lit("AACG"), "CG").alias("d")
     ).first()
     assert (tuple(row.a), tuple(row.b), row.c, row.d) == (("r1", "bc/1"), ("r1", "NA"), None, 3)
+
+
+def _fastq(n, seed=1):
+    r = random.Random(seed)
+    rows = [("@" + f"r{i}" * r.randrange(1, 4), "".join(r.choice("ACGT") for _ in range(r.randrange(1, 90)))) for i in range(n)]
+    return [(h, s, "+", "@" * len(s)) for h, s in rows]
+
+
+@pytest.mark.parametrize("size", ["1k", "90", "128m"])
+def test_fastq_records_across_input_splits(spark, tmp_path, size):
+    """Records come out whole and numbered however small the input splits are, even below a record; quality lines may begin with @."""
+    first, second = _fastq(300), _fastq(7, 2)
+    (tmp_path / "a.fq").write_text("\n".join(x for r in first for x in r) + "\n")
+    with gzip.open(tmp_path / "b.fq.gz", "wt") as f:
+        f.write("\n".join(x for r in second for x in r))
+    (tmp_path / "c.fq").write_text("")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        found = text.read_fastq(spark, str(tmp_path)).collect()
+        lines = text._lines(spark, str(tmp_path / "a.fq"), "r1").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for name, want in (("a.fq", first), ("b.fq.gz", second)):
+        got = sorted((r["ord"], tuple(r[2:])) for r in found if r["file"].endswith(name))
+        assert got == list(enumerate(want))
+    flat = [x for r in first for x in r]
+    assert [r["line"] for r in sorted(lines, key=lambda r: r["ord"])] == flat
+    marks = 0
+    for r in sorted(lines, key=lambda r: r["ord"]):
+        marks += "r1" in r["line"]
+        assert r["section"] == marks
+
+
+def test_truncated_fastq_is_an_error(spark, tmp_path):
+    path = _file(tmp_path, "x.fq", "@a", "ACGT", "+", "IIII", "@b", "AC")
+    with pytest.raises(PythonException, match="truncated"):
+        text.read_fastq(spark, path).collect()
+
+
+def test_fasta_and_names_of_split_bed(spark, tmp_path):
+    path = _file(tmp_path, "x.fa", ">a one", "ACGT", "", "GG", ">b", ">a two", "T" * 70, "C")
+    assert _set(text.read_fasta(spark, path)) == {("a", "a one", "ACGTGG"), ("b", "b", ""), ("a", "a two", "T" * 70 + "C")}
+    assert ("a", "a two", "T" * 70 + "C") in _set(text.read_fasta(spark, path, keep="longest"))
+    bed = _file(tmp_path, "x.bed", "chr1\t5\t90\tread1#1_2_3/2\t9\t+", "chr1\t7\t92\tread2#4_5_6\t9\t-")
+    rows = text.named_reads(text.read_bed(spark, bed)).select("read_id", "barcode", "mate")
+    assert _set(rows) == {("read1", "1_2_3", 2), ("read2", "4_5_6", 1)}
+
+
+def test_contigs_by_confidence(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "ACGT", 0), ("b", "GG", 1)], "barcode string, seq string, low_confidence int")
+    text.write_by_confidence(rows, str(tmp_path / "out"))
+    for side, want in (("highconf", {(">a",), ("ACGT",)}), ("flagged", {(">b",), ("GG",)})):
+        assert _set(spark.read.text(str(tmp_path / "out" / f"side={side}"))) == want
