@@ -18,13 +18,21 @@ def spike_counts(truth: DataFrame, counts: DataFrame, key: str) -> DataFrame:
 def dose_response(pairs: DataFrame) -> DataFrame:
     """Pearson, R squared, slope, intercept and Spearman of (x, y).
 
-    Average ranks come from counts per distinct value, so each value is one row in the running sum.
+    Average ranks come from counts per distinct value. Values are cut into ranges whose counts are carried over the
+    ranges, so the running sum of a range is one task's and no task has all values.
     """
+    n = 8 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def ranked(df: DataFrame, c: str) -> DataFrame:
         groups = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        upto = F.sum("_n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranks = groups.select(F.col(c).alias("_v"), (upto - (F.col("_n") - 1) / 2).alias(f"r{c}"))
+        low, high = df.agg(F.min(c), F.max(c)).first()
+        width = (float(high) - float(low)) / n if high is not None and high > low else 1.0
+        groups = groups.withColumn("_piece", F.floor((F.col(c) - F.lit(float(low or 0))) / F.lit(width)))
+        ahead = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)  # n + 1 rows at most
+        bases = groups.groupBy("_piece").agg(F.sum("_n").alias("_s")).select("_piece", F.coalesce(F.sum("_s").over(ahead), F.lit(0)).alias("_base"))
+        upto = F.sum("_n").over(Window.partitionBy("_piece").orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ranks = groups.withColumn("_upto", upto).join(F.broadcast(bases), "_piece")
+        ranks = ranks.select(F.col(c).alias("_v"), (F.col("_base") + F.col("_upto") - (F.col("_n") - 1) / 2).alias(f"r{c}"))
         return df.join(ranks, df[c] == ranks["_v"]).drop("_v")
 
     r = ranked(ranked(pairs, "x"), "y")

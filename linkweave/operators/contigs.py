@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
@@ -164,3 +164,53 @@ def first_contigs(contigs: DataFrame, most: int) -> DataFrame:
     order = Window.partitionBy("barcode").orderBy("contig_ix")
     ranked = contigs.withColumn("i", F.row_number().over(order) - 1).filter(F.col("i") < most)
     return ranked.withColumn("name", F.concat(F.col("barcode"), F.lit(">k41_"), F.col("i").cast("string"))).drop("i")
+
+
+def qc_counts(flags: DataFrame, *columns: str) -> DataFrame:
+    """(metric, n, percent) for 0/1 ``columns`` of a quality table: the rows that have each, of all rows."""
+    one = flags.agg(F.count(F.lit(1)).alias("all"), *[F.count_if(F.col(c) == 1).alias(c) for c in columns])
+    percent = lambda c: F.round(F.coalesce(F.try_divide(100.0 * F.col(c), F.col("all")), F.lit(0.0)), 2)
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("n"), percent(c).alias("percent")) for c in ["all", *columns]])))
+
+
+def low_complexity(barcode: Column, share: float = 0.8) -> Column:
+    """One base makes up ``share`` of the barcode or more; an empty one is as well."""
+    most = F.greatest(*[F.length(barcode) - F.length(F.replace(barcode, F.lit(c))) for c in "ACGT"])
+    return barcode.isNull() | (F.length(barcode) == 0) | (most >= share * F.length(barcode))
+
+
+def sampled_barcodes(reads: DataFrame, n: int, min_reads: int, seed: str = "probe") -> DataFrame:
+    """``n`` barcodes of ``min_reads`` reads or more that aren't of low complexity, by least digest (the sample is the feature)."""
+    counts = reads.groupBy("barcode").agg(F.count(F.lit(1)).alias("n_reads")).filter((F.col("n_reads") >= min_reads) & ~low_complexity(F.col("barcode")))
+    return counts.orderBy(F.md5(F.concat(F.lit(seed + ":"), "barcode")), "barcode").limit(n)
+
+
+def sampled_pairs(reads: DataFrame, seed: str = "pairs", most_reads: int = 40) -> DataFrame:
+    """Read pairs to compare, chosen by digests where the reference draws them: each barcode's reads in digest order (at most
+    ``most_reads`` of them, the feature) are paired with the next one (``within`` 1) and with the first of the barcode next in digest order (``within`` 0)."""
+    digest = F.md5(F.concat(F.lit(seed + ":"), F.col("barcode"), F.lit(":"), F.col("seq")))
+    own = Window.partitionBy("barcode").orderBy("d", "seq")
+    distinct = reads.select("barcode", "seq").distinct().withColumn("d", digest)
+    ranked = distinct.withColumn("r", F.row_number().over(own)).filter(F.col("r") <= most_reads)
+    within = ranked.withColumn("other", F.lead("seq").over(own)).filter(F.col("other").isNotNull()).select(F.lit(1).alias("within"), F.col("barcode").alias("a"), F.col("barcode").alias("b"), F.col("seq").alias("x"), F.col("other").alias("y"))
+    first = ranked.filter("r = 1")
+    # neighbours inside one of many buckets of the digest, so no task sorts all barcodes
+    near = Window.partitionBy(F.substring("d", 1, 2)).orderBy("d", "barcode")
+    across = first.withColumn("ob", F.lead("barcode").over(near)).withColumn("os", F.lead("seq").over(near)).filter(F.col("ob").isNotNull())
+    return within.union(across.select(F.lit(0), "barcode", "ob", "seq", "os"))
+
+
+def umi_gate(results: DataFrame, min_reads: int, shortest: int = 400, longest: int = 20_000) -> DataFrame:
+    """Consensus rows (n_reads, seq) from enough reads and of a length in the limits, both included."""
+    return results.filter((F.col("n_reads") >= min_reads) & F.length("seq").between(shortest, longest))
+
+
+def in_regions(rows: DataFrame, chroms: list[str] | None = None, regions: DataFrame | None = None) -> DataFrame:
+    """Rows (chrom, pos) on the listed chromosomes, and inside any half-open region (chrom, start, end) where those are given."""
+    out = rows.filter(F.col("chrom").isin(chroms)) if chroms is not None else rows
+    if regions is None:
+        return out
+    from .intervals import merge_intervals
+
+    apart = merge_intervals(regions.select("chrom", "start", "end")).select(F.col("chrom").alias("_c"), F.col("start").alias("_s"), F.col("end").alias("_e"))
+    return out.join(apart, (F.col("chrom") == F.col("_c")) & (F.col("pos") >= F.col("_s")) & (F.col("pos") < F.col("_e")), "left_semi")

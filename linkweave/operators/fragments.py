@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import gc_count
+from .intervals import merge_intervals
 
 
 def gate_reason(min_mapq: int = 30, mask: int = 0x900) -> Column:
@@ -73,17 +74,25 @@ def fragment_gaps(fragments: DataFrame, read_length: int) -> DataFrame:
 
 
 def fragment_summary(fragments: DataFrame, genome: int = 2_934_876_545) -> DataFrame:
-    """One row of totals; the median is exact. Barcodes are counted through a partial aggregation of their own."""
+    """One row of totals; the median is exact. Barcodes are counted through a partial aggregation of their own.
+
+    ``merged_length`` is what the fragments cover of the chromosomes, overlapping ones once; ``genome_percent`` is its
+    share of the genome. ``reads_per_kbp`` divides the mean reads by the median length.
+    """
     per_bc = fragments.groupBy("barcode").agg(F.count(F.lit(1)).alias("f"), F.sum("n_reads").alias("r"))
     bc = per_bc.agg(F.count(F.lit(1)).alias("n_barcodes"), F.round(F.avg("f"), 4).alias("frags_per_bc"), F.round(F.avg("r"), 4).alias("reads_per_bc"))
     total = fragments.agg(
         F.count(F.lit(1)).alias("n_fragments"),
+        F.coalesce(F.sum("n_reads"), F.lit(0)).alias("n_reads"),
         F.round(F.avg("length"), 2).alias("mean_length"),
         F.round(F.median("length"), 4).alias("median_length"),
         F.round(F.avg("n_reads"), 4).alias("reads_per_frag"),
-        F.round(F.sum(F.col("length").cast("double")) / genome * 100, 4).alias("genome_percent"),
+        F.round(F.coalesce(F.try_divide(1000 * F.avg("n_reads"), F.median("length")), F.lit(0.0)), 9).alias("reads_per_kbp"),
     )
-    return bc.crossJoin(total)  # one row each
+    spans = merge_intervals(fragments.select("chrom", F.col("min_pos").alias("start"), (F.col("min_pos") + F.col("length")).alias("end")))
+    covered = spans.agg(F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0)).alias("merged_length"))
+    covered = covered.withColumn("genome_percent", F.round(F.col("merged_length") / genome * 100, 4))
+    return bc.crossJoin(total).crossJoin(covered)  # one row each
 
 
 FINE_BINS = [(1, 1), (2, 2), (3, 3), (4, 4), (5, 9), (10, 24), (25, 49), (50, 99), (100, None)]

@@ -4,18 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.seq import reverse_complement
 
-def merge_intervals(intervals: DataFrame, by: Sequence[str] = ("chrom",)) -> DataFrame:
-    """Islands of overlapping or touching intervals per group; ``span`` counts both ends."""
-    order = Window.partitionBy(*by).orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)
-    island = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    marked = intervals.withColumn("_new", fresh).withColumn("_island", island)
-    merged = marked.groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_merged"))
+
+def _pieces(df: DataFrame, at: str) -> DataFrame:
+    """``df`` with ``_piece``: ranges of ``at`` of equal width, some for every shuffle partition, so that a group as long as
+    a chromosome is swept by many tasks."""
+    n = 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low, high = df.agg(F.min(at), F.max(at)).first()
+    width = max(1, -(-(int(high) - int(low) + 1) // n)) if low is not None else 1
+    return df.withColumn("_piece", F.floor((F.col(at) - F.lit(int(low or 0))) / F.lit(width)).cast("long"))
+
+
+def _carried(totals: DataFrame, by: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Per (group, piece) the aggregate ``value`` of ``totals`` over the pieces before it; one row per piece is swept."""
+    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn(name, value.over(before))
+
+
+def _islands(intervals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``intervals`` with ``_island``, the number of the chain of overlapping or touching intervals in its group.
+
+    Two levels: the greatest end and the number of fresh starts of each piece are carried over the pieces, the rest
+    is a window inside a piece.
+    """
+    cut = _pieces(intervals, "start")
+    key = [*by, "_piece"]
+    tops = _carried(cut.groupBy(*key).agg(F.max("end").alias("_top")), by, F.max("_top"), "_before").select(*key, "_before")
+    order = Window.partitionBy(*key).orderBy("start", "end")
+    inside = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.greatest(inside, "_before")  # nulls are skipped
+    marked = cut.join(tops.hint("merge"), key).withColumn("_new", F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)).drop("_before")
+    starts = _carried(marked.groupBy(*key).agg(F.sum("_new").alias("_n")), by, F.sum("_n"), "_base").select(*key, F.coalesce("_base", F.lit(0)).alias("_base"))
+    number = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return marked.withColumn("_local", number).join(starts.hint("merge"), key).withColumn("_island", F.col("_base") + F.col("_local")).drop("_new", "_local", "_base", "_piece")
+
+
+def merge_intervals(intervals: DataFrame, by: Sequence[str] = ("chrom",), names: str | None = None) -> DataFrame:
+    """Islands of overlapping or touching intervals per group (with the strand in ``by``: per strand); ``span`` counts both ends.
+
+    ``names``: a column whose distinct values are listed, sorted and comma-joined, for each island.
+    """
+    listed = [F.array_join(F.array_sort(F.collect_set(F.col(names).cast("string"))), ",").alias("names")] if names else []
+    merged = _islands(intervals, by).groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_merged"), *listed)
     return merged.withColumn("span", F.col("end") - F.col("start") + 1).drop("_island")
 
 
@@ -41,12 +75,35 @@ def overlap_join(left: DataFrame, right: DataFrame, by: str, bin_size: int) -> D
     return pairs.filter(hit).drop("_bin")
 
 
+def overlap_outer(left: DataFrame, right: DataFrame, by: str, bin_size: int, key: str) -> DataFrame:
+    """``overlap_join`` with the number of shared places, and with every left row (known by ``key``) that meets none: right columns null, overlap 0."""
+    pairs = overlap_join(left, right, by, bin_size)
+    pairs = pairs.withColumn("overlap", F.least("l_end", "r_end") - F.greatest("l_start", "r_start"))
+    named = left.select(*[F.col(c).alias(c if c == by else f"l_{c}") for c in left.columns])
+    alone = named.join(pairs.select(f"l_{key}").distinct(), f"l_{key}", "left_anti").withColumn("overlap", F.lit(0).cast("long"))
+    return pairs.unionByName(alone, allowMissingColumns=True)
+
+
+def sequences(intervals: DataFrame, references: DataFrame) -> DataFrame:
+    """Half-open ``intervals`` (chrom, start, end, and a strand or none) with the reference's bases, turned on strand ``-``."""
+    piece = F.expr("substring(_ref, cast(start + 1 as int), cast(end - start as int))")
+    seq = F.when(F.col("strand") == "-", reverse_complement(piece)).otherwise(piece) if "strand" in intervals.columns else piece
+    return intervals.join(references.select("chrom", F.col("seq").alias("_ref")), "chrom").withColumn("seq", seq).drop("_ref")
+
+
 def depth_runs(intervals: DataFrame, by: str = "chrom") -> DataFrame:
-    """Runs of constant depth above zero: (group, start, end, depth), by a sweep over +1 and -1 events."""
+    """Runs of constant depth above zero: (group, start, end, depth), by a sweep over +1 and -1 events.
+
+    Two levels: the sum of each piece and the first place of the next are carried over the pieces.
+    """
     events = intervals.select(by, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("e"))
-    steps = events.groupBy(by, F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d"))
-    order = Window.partitionBy(by).orderBy("at")
-    runs = steps.select(by, F.col("at").alias("start"), F.lead("at").over(order).alias("end"), F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("depth"))
+    steps = _pieces(events.groupBy(by, F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d")), "at")
+    order = Window.partitionBy(by, "_piece").orderBy("at")
+    sums = steps.groupBy(by, "_piece").agg(F.sum("d").alias("_s"), F.min("at").alias("_a"))
+    sums = _carried(sums, [by], F.sum("_s"), "_base").withColumn("_next", F.lead("_a").over(Window.partitionBy(by).orderBy("_piece")))
+    inside = steps.withColumn("_end", F.lead("at").over(order)).withColumn("_run", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    joined = inside.join(sums.select(by, "_piece", "_base", "_next").hint("merge"), [by, "_piece"])
+    runs = joined.select(by, F.col("at").alias("start"), F.coalesce("_end", "_next").alias("end"), (F.coalesce("_base", F.lit(0)) + F.col("_run")).alias("depth"))
     return runs.filter("depth > 0 and end > start")
 
 
@@ -76,6 +133,27 @@ def low_coverage(runs: DataFrame, limit: int) -> DataFrame:
     return merge_intervals(runs.filter(F.col("depth") < limit).select("chrom", "start", "end"))
 
 
+def reference_coverage(runs: DataFrame, references: DataFrame, limits: Sequence[int] = (4, 10, 20)) -> DataFrame:
+    """Per chromosome and in total (``total``): mean depth, coverage and shares at each limit, over the reference bases other than N.
+
+    ``references`` has (chrom, bases): see ``non_n_bases``. References without any covered base count as well.
+    """
+    size = F.col("end") - F.col("start")
+    found = runs.groupBy("chrom").agg(
+        F.sum(size).alias("covered"), F.sum(size * F.col("depth")).alias("depth_sum"), *[F.sum(F.when(F.col("depth") >= d, size).otherwise(0)).alias(f"n{d}") for d in limits]
+    )
+    either = F.explode(F.array("chrom", F.lit("total")))
+    names = ["covered", "depth_sum", *[f"n{d}" for d in limits]]
+    whole = references.join(found, "chrom", "left").withColumn("chrom", either).groupBy("chrom").agg(F.sum("bases").alias("bases"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    share = lambda n: F.round(F.coalesce(F.try_divide(F.col(n), F.col("bases")), F.lit(0.0)), 6)
+    return whole.select("chrom", F.col("bases").cast("long").alias("bases"), share("depth_sum").alias("mean_depth"), share("covered").alias("coverage"), *[share(f"n{d}").alias(f"coverage_{d}x") for d in limits])
+
+
+def non_n_bases(references: DataFrame) -> DataFrame:
+    """(chrom, bases) of reference sequences: bases other than N."""
+    return references.groupBy("chrom").agg(F.sum(F.length(F.regexp_replace("seq", "[Nn]", ""))).cast("long").alias("bases"))
+
+
 def coverage_profile(fragments: DataFrame, bins: int = 10) -> DataFrame:
     """Reads per tenth of a fragment, turned round on strand 0: (barcode, chrom, frag, bin, n)."""
     placed = fragments.select("barcode", "chrom", "frag", "strand", "min_pos", "length", F.explode("positions").alias("pos"))
@@ -84,11 +162,33 @@ def coverage_profile(fragments: DataFrame, bins: int = 10) -> DataFrame:
     return placed.groupBy("barcode", "chrom", "frag", turned.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def covered_profile(fragments: DataFrame, read_length: int, bins: int | None = 10, bin_size: int | None = None) -> DataFrame:
+    """Mean depth per bin of each fragment, from the bases its reads cover: (barcode, chrom, frag, bin, depth).
+
+    A fragment reaches from its first read to the end of its last. It has ``bins`` equal bins, or those of ``bin_size`` bases that
+    fit in it. A read counts in every bin it touches, with the bases it has there. Bins are numbered from the other end on strand 0.
+    """
+    span = F.col("max_pos") - F.col("min_pos") + read_length
+    width = F.lit(float(bin_size)) if bin_size else span / bins
+    n = F.floor(span / bin_size) if bin_size else F.lit(bins)
+    whole = fragments.select("barcode", "chrom", "frag", "strand", "min_pos", "positions", width.alias("w"), n.cast("int").alias("n")).filter("n > 0")
+    reads = whole.select("barcode", "chrom", "frag", "w", "n", F.explode(F.transform("positions", lambda x: x - F.col("min_pos"))).alias("a"))
+    first, last = F.floor(F.col("a") / F.col("w")), F.floor((F.col("a") + read_length) / F.col("w"))
+    parts = reads.withColumn("bin", F.explode(F.sequence(first, F.greatest(first, last)))).filter("bin < n")
+    bases = F.least(F.col("a") + read_length, (F.col("bin") + 1) * F.col("w")) - F.greatest(F.col("a"), F.col("bin") * F.col("w"))
+    sums = parts.groupBy("barcode", "chrom", "frag", "bin").agg(F.sum(bases).alias("b"))
+    grid = whole.select("barcode", "chrom", "frag", "strand", "w", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)).alias("bin"))
+    joined = grid.join(sums, ["barcode", "chrom", "frag", "bin"], "left")
+    turned = F.when(F.col("strand") == 0, F.col("n") - 1 - F.col("bin")).otherwise(F.col("bin"))
+    return joined.select("barcode", "chrom", "frag", turned.cast("long").alias("bin"), F.round(F.coalesce("b", F.lit(0.0)) / F.col("w"), 6).alias("depth"))
+
+
+def profile_slopes(profile: DataFrame) -> DataFrame:
+    """Slope of each fragment's depth over its bins, numbered from 1."""
+    return profile.groupBy("barcode", "chrom", "frag").agg(F.round(F.regr_slope("depth", F.col("bin") + 1), 6).alias("slope"))
+
+
 def longest_of_island(intervals: DataFrame, by: str = "chrom", weight: str = "weight", tie: str = "name") -> DataFrame:
     """Of each chain of overlapping intervals the one of the greatest weight."""
-    order = Window.partitionBy(by).orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = intervals.withColumn("_new", F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0))
-    marked = marked.withColumn("island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    best = marked.groupBy(by, "island").agg(F.max(F.struct(F.col(weight), (-F.col(tie)).alias("t"))).alias("b"))
+    best = _islands(intervals, [by]).groupBy(by, F.col("_island").alias("island")).agg(F.max(F.struct(F.col(weight), (-F.col(tie)).alias("t"))).alias("b"))
     return best.select(by, (-F.col("b.t")).alias(tie), F.col(f"b.{weight}").alias(weight))

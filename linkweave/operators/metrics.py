@@ -68,11 +68,38 @@ def duplicates_by_locus(reads: DataFrame) -> DataFrame:
     return loci.withColumn("false_dup_rate", F.round(F.col("false_dup") / F.col("n_reads"), 6))
 
 
+def duplicate_rates(reads: DataFrame) -> DataFrame:
+    """Per locus: barcodes over reads, the share of reads whose barcode has others there, and the share of these with the
+    sequence of another one of their barcode (the plain number where there are none). A read id counts once a barcode."""
+    single = reads.groupBy("chrom", "pos", "barcode", "read_id").agg(F.max("seq").alias("seq"))
+    same = single.groupBy("chrom", "pos", "barcode", "seq").agg(F.count(F.lit(1)).alias("n"))
+    per_bc = same.groupBy("chrom", "pos", "barcode").agg(F.sum("n").alias("r"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("same"))
+    several = F.col("r") > 1
+    loci = per_bc.groupBy("chrom", "pos").agg(
+        F.count(F.lit(1)).alias("n_barcodes"), F.sum("r").alias("n_reads"), F.sum(F.when(several, F.col("r")).otherwise(0)).alias("shared"), F.sum(F.when(several, F.col("same")).otherwise(0)).alias("same_seq")
+    )
+    return loci.select(
+        "chrom", "pos", "n_barcodes", "n_reads", "same_seq", F.round(F.col("n_barcodes") / F.col("n_reads"), 6).alias("barcode_rate"),
+        F.round(F.col("shared") / F.col("n_reads"), 6).alias("shared_rate"), F.round(F.coalesce(F.try_divide("same_seq", "shared"), F.col("same_seq").cast("double")), 6).alias("same_seq_rate"),
+    )
+
+
+def duplicate_totals(rates: DataFrame) -> DataFrame:
+    """One row over all loci of ``duplicate_rates``: reads, barcodes, and barcodes over reads."""
+    n, bc = F.coalesce(F.sum("n_reads"), F.lit(0)), F.coalesce(F.sum("n_barcodes"), F.lit(0))
+    return rates.agg(n.alias("n_reads"), bc.alias("n_barcodes"), F.round(F.coalesce(F.try_divide(bc, n), F.lit(0.0)), 6).alias("barcode_rate"))
+
+
+def without_duplicates(reads: DataFrame, marked: DataFrame, remove: bool = True) -> DataFrame:
+    """``reads`` that ``mark_duplicates`` did not mark; all of them where the barcode mode passes duplicates on."""
+    return reads.join(marked.filter("is_dup = 1").select("read_id"), "read_id", "left_anti") if remove else reads
+
+
 def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Barcode-aware duplicates: all but the best read of equal (chrom, pos, strand, barcode) are marked.
 
-    The best has the highest quality, then the least id. It is found by aggregation and joined back, so
-    a deep locus never meets in one sort. Stands in for an external tool's closed form.
+    The best has the highest quality, then the least id. It is found by aggregation and joined back; the reads
+    of one locus, strand and barcode meet in that join. Stands in for an external tool's closed form.
     """
     strand = F.col("flag").bitwiseAND(F.lit(16)).alias("strand")
     keyed = reads.withColumn("strand", strand)
@@ -122,3 +149,19 @@ def length_stats(df: DataFrame, length: Column, by: str) -> DataFrame:
         F.count("l").alias("n"), F.round(F.avg("l"), 4).alias("mean"), F.round(F.stddev("l"), 4).alias("std"), F.min("l").alias("min"),
         quantile(0.1).alias("p10"), F.round(F.median("l"), 4).alias("median"), quantile(0.9).alias("p90"), F.max("l").alias("max"),
     )
+
+
+def length_percentiles(df: DataFrame, length: Column, by: str, at: tuple[int, ...] = (10, 20, 25, 30, 40, 50, 60, 70, 75, 80, 90, 95, 99)) -> DataFrame:
+    """(group, percent, length): exact percentiles of a length, one row each."""
+    listed = df.select(by, length.cast("long").alias("l")).groupBy(by).agg(F.percentile("l", F.array(*[F.lit(p / 100) for p in at])).alias("v"))
+    rows = listed.select(by, F.posexplode("v").alias("i", "value"))
+    return rows.select(by, F.element_at(F.array(*[F.lit(p) for p in at]), F.col("i") + 1).alias("percent"), F.round("value", 4).alias("length"))
+
+
+def gc_both(reads: DataFrame, length: int) -> DataFrame:
+    """The GC histogram of both mates together, with a row per GC value; mate is ``both``."""
+    counts = reads.groupBy(S.gc_count(F.col("seq")).cast("long").alias("gc")).agg(F.count(F.lit(1)).alias("n"))
+    grid = reads.sparkSession.range(length + 1).select(F.col("id").alias("gc"))
+    whole = reads.agg(F.count(F.lit(1)).alias("_all"))
+    full = grid.join(counts, "gc", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long"))).crossJoin(F.broadcast(whole))  # one row
+    return full.select(F.lit("both").alias("mate"), "gc", "n", F.round(F.col("n") / F.col("_all") * 100, 6).alias("percent"))

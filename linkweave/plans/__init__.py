@@ -1,5 +1,5 @@
-"""Registered queries; ``cohorts`` and ``naming`` add to the registry of ``catalogue``."""
+"""Registered queries; ``cohorts``, ``naming`` and ``extras`` add to the registry of ``catalogue``."""
 
-from . import catalogue, cohorts, naming
+from . import catalogue, cohorts, extras, naming
 
-__all__ = ["catalogue", "cohorts", "naming"]
+__all__ = ["catalogue", "cohorts", "extras", "naming"]

@@ -163,10 +163,10 @@ def fragment_gate(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH {_FRAGS_SQL}, b AS (SELECT barcode, count(*) AS f, sum(n_reads) AS r FROM frags GROUP BY 1)
+    f"""WITH {_FRAGS_SQL}, b AS (SELECT barcode, count(*) AS f, sum(n_reads) AS r FROM frags GROUP BY 1), iv AS (SELECT chrom, min_pos AS s, min_pos + length AS e FROM frags) {_ISLANDS_SQL}, mg AS (SELECT min(s) AS s, max(e) AS e FROM ii GROUP BY chrom, i)
 SELECT (SELECT count(*) FROM b) AS n_barcodes, (SELECT round(avg(f), 4) FROM b) AS frags_per_bc, (SELECT round(avg(r), 4) FROM b) AS reads_per_bc,
-  count(*) AS n_fragments, round(avg(length), 2) AS mean_length, round(median(length), 4) AS median_length, round(avg(n_reads), 4) AS reads_per_frag,
-  round(sum(CAST(length AS DOUBLE)) / 2934876545000000 * 100, 4) AS genome_percent FROM frags"""
+  count(*) AS n_fragments, CAST(sum(n_reads) AS BIGINT) AS n_reads, round(avg(length), 2) AS mean_length, round(median(length), 4) AS median_length, round(avg(n_reads), 4) AS reads_per_frag,
+  round(1000 * avg(n_reads) / median(length), 9) AS reads_per_kbp, (SELECT CAST(sum(e - s) AS BIGINT) FROM mg) AS merged_length, (SELECT round(sum(e - s) / 2934876545000000 * 100, 4) FROM mg) AS genome_percent FROM frags"""
 )
 def fragment_summary(spark: SparkSession, d: str) -> DataFrame:
     return fragments.fragment_summary(_fragments(spark, d), genome=2_934_876_545_000_000)
@@ -729,9 +729,14 @@ def block_positions(spark: SparkSession, d: str) -> DataFrame:
 # --- kernels ------------------------------------------------------------------------------------------------------
 
 
-@_query()
+_BOTH_WAYS = "least(seq, reverse(translate(seq, 'ACGT', 'TGCA')))"
+
+
+@_query(f"WITH m AS (SELECT CAST(p_partkey AS VARCHAR) AS barcode, {_MOLECULE.format(s='VARCHAR')} AS seq FROM part) SELECT barcode, CAST(0 AS INT) AS contig_ix, {_BOTH_WAYS} AS seq FROM m")
 def assemble_contigs(spark: SparkSession, d: str) -> DataFrame:
-    return assemble.assemble_barcodes(_molecule_reads(spark, d), AssembleOptions(min_overlap=25, min_contig=60))
+    """The reads tile their molecule, so each barcode has one contig, the molecule (the lesser of its strands is given)."""
+    found = assemble.assemble_barcodes(_molecule_reads(spark, d), AssembleOptions(min_overlap=25, min_contig=60))
+    return found.withColumn("seq", F.expr(_BOTH_WAYS))
 
 
 @_query()
@@ -739,9 +744,26 @@ def conflict_filter(spark: SparkSession, d: str) -> DataFrame:
     return assemble.conflict_filter(_molecule_reads(spark, d).withColumn("read_id", F.col("read_id").cast("long")), min_overlap=20)
 
 
-@_query()
+def _pools(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of two neighbouring molecules under one barcode; some pools lack the reads that join theirs."""
+    reads = _molecule_reads(spark, d).withColumn("p", F.col("barcode").cast("bigint"))
+    kept = reads.filter("p % 5 <> 0 or read_id in (0, 2)")
+    return kept.select(F.floor(F.col("p") / 2).cast("string").alias("barcode"), (F.col("p") % 2 * 4 + F.col("read_id")).alias("read_id"), "seq")
+
+
+@_query(
+    f"""WITH {_PLACE_SQL}, po AS (SELECT CAST(CAST(barcode AS BIGINT) // 2 AS VARCHAR) AS barcode, CAST(barcode AS BIGINT) % 2 * 4 + read_id AS r, seq FROM rd WHERE CAST(barcode AS BIGINT) % 5 <> 0 OR read_id IN (0, 2)),
+ps AS (SELECT barcode, min(r) AS r, seq FROM po GROUP BY barcode, seq), tg AS (SELECT barcode, r, 0 AS s, seq FROM ps UNION ALL SELECT barcode, r, 1, reverse(translate(seq, 'ACGT', 'TGCA')) FROM ps),
+qk AS (SELECT barcode, r, i, substr(seq, i, 17) AS w FROM (SELECT *, unnest(range(1, length(seq) - 15)) AS i FROM ps)), tk AS (SELECT barcode, r, s, i, substr(seq, i, 17) AS w FROM (SELECT *, unnest(range(1, length(seq) - 15)) AS i FROM tg)),
+dl AS (SELECT q.barcode, q.r AS a, t.r AS b FROM qk q JOIN tk t ON q.barcode = t.barcode AND q.w = t.w AND q.r < t.r GROUP BY q.barcode, q.r, t.r, t.s, t.i - q.i HAVING count(DISTINCT q.i) >= 3 AND max(q.i) - min(q.i) >= 20),
+ed AS (SELECT barcode, a, b FROM dl UNION SELECT barcode, b, a FROM dl UNION SELECT barcode, r, r FROM ps),
+l1 AS (SELECT e.barcode, e.a, min(f.b) AS b FROM ed e JOIN ed f ON e.barcode = f.barcode AND e.b = f.a GROUP BY 1, 2), l2 AS (SELECT e.barcode, e.a, min(l.b) AS b FROM ed e JOIN l1 l ON e.barcode = l.barcode AND e.b = l.a GROUP BY 1, 2),
+l3 AS (SELECT e.barcode, e.a, min(l.b) AS b FROM ed e JOIN l2 l ON e.barcode = l.barcode AND e.b = l.a GROUP BY 1, 2), l4 AS (SELECT e.barcode, e.a, min(l.b) AS b FROM ed e JOIN l3 l ON e.barcode = l.barcode AND e.b = l.a GROUP BY 1, 2),
+gs AS (SELECT barcode, b, count(*) AS n FROM l4 GROUP BY 1, 2)
+SELECT barcode, CAST(count(*) AS INT) AS n_groups, round(max(n) / sum(n), 4) AS largest, CAST(count(*) > 1 AND max(n) / sum(n) < 0.9 AS INT) AS suspect FROM gs GROUP BY 1"""
+)
 def pool_components(spark: SparkSession, d: str) -> DataFrame:
-    return assemble.pool_components(_molecule_reads(spark, d), min_anchors=3, min_span=30)
+    return assemble.pool_components(_pools(spark, d), min_anchors=3, min_span=20)
 
 
 @_query()
