@@ -8,15 +8,16 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, skewed_join, utf8, written
+from .common import skewed_join, utf8, written
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 #: The pre-token pattern of byte-level BPE (fixed value; the vocabulary was built with it).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Bounds of the broadcast table of the most frequent pre-tokens: their number, and UTF-8 bytes of each.
-HEAD = 60_000
+#: Pre-tokens that make up one in ``HEAD`` of all occurrences or more, of ``HEAD_BYTES`` UTF-8 bytes at most, are broadcast.
+#: There are at most ``HEAD`` such, whatever the corpus.
+HEAD = 1_000_000
 HEAD_BYTES = 48
 
 
@@ -107,46 +108,55 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
     First the distinct pre-tokens of the corpus are counted and each is cut into pieces once. Then they are
     joined to the pre-token frequencies of the documents. The most frequent ones, bounded in number and
     bytes and so broadcast, meet the frequencies where these are made, and leave one sum per document; the
-    rest of a document's frequencies (none with more than 1 / ``HEAD`` of all occurrences, but for long ones) are
-    exchanged by pre-token and summed. Token ids exist only inside ``pieces``.
+    rest of a document's frequencies are exchanged by pre-token and summed. With them goes one row per document
+    that no pre-token meets, so one pass over the texts gives both. Token ids exist only inside ``pieces``.
     """
     spark = docs.sparkSession
     words = written(pieces(pre_token_counts(docs, tokenizer), tokenizer))
-    often = words.filter(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD)
+    whole = words.agg(F.sum("n")).first()[0] or 0
+    often = words.filter((F.octet_length("word") <= HEAD_BYTES) & (F.col("n") * HEAD >= whole))
     head = spark.sparkContext.broadcast({r[0]: r[1] for r in often.select("word", "pieces").collect()})
 
     def scan(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
         cut, known, digest = PreTokens(tokenizer), head.value, _digest()
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             raw = utf8(batch, "text")
-            sums, digests, times = [], [], []
+            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            first, digests, times, owners, sums = row, [], [], [], []
             for text in raw:
                 found, total = cut(text.decode("utf-8", "replace"))
-                rare: Counter = Counter()
+                rare = 0
                 for word, n in Counter(found).items():
                     if (size := known.get(word)) is not None:
                         total += size * n
                     else:
-                        rare[digest(word)] = n
+                        digests.append(digest(word))
+                        times.append(n)
+                        rare += 1
                 sums.append(total)
-                digests.append(list(rare))
-                times.append(list(rare.values()))
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
-            arrays = [ids, pa.array(map(len, raw), pa.int64()), pa.array(sums, pa.int64())]
-            arrays += [pa.array(digests, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "common", "digests", "times"])
+                owners.append(rare)
+                row += 1
+            # one row per document under a digest of its own
+            n, rows = len(digests), np.arange(first, row)
+            digests += [digest(f"\0{r}") + b"." for r in rows.tolist()]
+            nothing = pa.nulls(n, pa.int64())
+            columns = [
+                pa.array(np.concatenate((np.repeat(rows, owners), rows))), pa.array(digests, pa.binary()), pa.array(times + [0] * len(raw), pa.int32()),
+                pa.concat_arrays([nothing, ids]), pa.concat_arrays([nothing, pa.array(map(len, raw), pa.int64())]), pa.concat_arrays([nothing, pa.array(sums, pa.int64())]),
+            ]
+            made = pa.RecordBatch.from_arrays(columns, names=["row", "digest", "times", "doc_id", "n_bytes", "common"])
+            for at in range(0, len(made), 100_000):
+                yield made.slice(at, 100_000)
 
     made = docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
-        scan, "doc_id long, n_bytes long, common long, digests array<binary>, times array<int>"
+        scan, "row long, digest binary, times int, doc_id long, n_bytes long, common long"
     )
-    # rows get a number when they are written: ids may repeat or be null
-    rows = written(made.withColumn("row", F.monotonically_increasing_id()))
-    rare = rows.select("row", F.explode(F.arrays_zip("digests", "times")).alias("e")).select("row", F.col("e.digests").alias("digest"), F.col("e.times").alias("times"))
-    sums = skewed_join(rare, words.select("digest", "pieces"), "digest").groupBy("row").agg(F.sum(F.col("pieces") * F.col("times")).alias("rest"))
-    sums = written(sums)
-    total = F.col("common") + F.coalesce("rest", F.lit(0))
-    done = rows.select("row", "doc_id", "n_bytes", "common").join(sums.hint("merge"), "row", "left")
-    forget(words)
-    return done.select("doc_id", "n_bytes", total.alias("n_tokens"), (total > limit).alias("over_limit"))
+    met = skewed_join(made, words.select("digest", "pieces"), "digest", "left")
+    rest = F.coalesce(F.sum(F.col("pieces") * F.col("times")), F.lit(0))
+    done = met.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), (F.max("common") + rest).alias("n_tokens"))
+    return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -286,7 +286,7 @@ def test_token_counts(docs, monkeypatch):
     odd = ["a<|endoftext|>b  c\n\n d　e 12,5 it's\t\té", " \n ", "日本語 text"]
     odd += ["<|endoftext|><|endoftext|> a  <|endoftext|>", "x" * 3000 + " " + "y" * 100]
     some = docs.sparkSession.createDataFrame([(i, t) for i, t in enumerate(odd)] * 40, "doc_id long, text string")
-    for head in (token_counts.HEAD, 3):
+    for head in (token_counts.HEAD, 3, 1):
         monkeypatch.setattr(token_counts, "HEAD", head)
         got = token_counts.token_counts(some, path, limit=20).collect()
         want = [(i, len(t.encode()), n := len(whole.encode(t, add_special_tokens=False)), n > 20) for i, t in enumerate(odd)]
@@ -637,7 +637,7 @@ def test_ordinal_likelihood():
     up, down = (toxicity._ordinal(margin + s, y, cuts) for s in (h, -h))
     assert np.allclose((up[0] - down[0]) / (2 * h), fu + fl, atol=1e-6)
     assert np.allclose((up[1] + up[2] - down[1] - down[2]) / (2 * h), fuu + 2 * ful + fll, atol=1e-5)
-    w, c = toxicity.fit(x, y.tolist(), toxicity.TrainOptions(penalty=0.01))
+    w, c = toxicity.fit(x, y.tolist(), toxicity.TrainOptions(penalty=0.01, rising=False))
     assert np.abs(w - true).max() < 0.25 and np.abs(c - cuts).max() < 0.3
     best = toxicity._ordinal(x @ w, y, c)[0].sum()
     for i in range(3):
