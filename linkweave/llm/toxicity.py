@@ -26,16 +26,20 @@ class TrainOptions:
     """``sample``: bound of labelled rows used for fitting; ``features``: words kept (by a two-class
     score on the sample, at least ``min_docs`` documents each, at most ``word_bytes`` long); ``penalty``: L1
     weight, over the root of the number of fitted rows; ``ridge``: L2 weight, over that number, of the second
-    fit; of every ``holdout`` sampled rows one sets the decision limit and one is only measured."""
+    fit; of every ``holdout`` sampled rows one sets the decision limit and one is only measured; ``grades``: the
+    least number of grades above 0; ``rising``: words are chosen among those that raise severity only (most words
+    say nothing of it, so with few labels a negative weight is mostly chance)."""
 
     sample: int = 8000
     features: int = 1024
     min_docs: int = 5
     word_bytes: int = 64
-    penalty: float = 0.07
-    ridge: float = 0.1
+    penalty: float = 0.04
+    ridge: float = 0.5
     steps: int = 500
     holdout: int = 5
+    grades: int = 2
+    rising: bool = True
 
 
 @dataclass
@@ -96,7 +100,7 @@ def fit(x, grades: list[int], options: TrainOptions = TrainOptions()):
     import numpy as np
 
     y = np.array(grades, np.int64)
-    top = max(1, int(y.max()) if len(y) else 1)
+    top = max(options.grades, int(y.max()) if len(y) else 0)
     if not len(y) or (y > 0).all() or not (y > 0).any():
         return np.zeros(x.shape[1]), np.array([4.0 + 4 * j for j in range(top)])
     share = np.clip([(y >= j).mean() for j in range(1, top + 1)], 1e-4, 1 - 1e-4)
@@ -116,7 +120,7 @@ def fit(x, grades: list[int], options: TrainOptions = TrainOptions()):
     for _ in range(options.steps):
         _, fu, fl, *_ = _ordinal((x @ look).astype(float), y, cuts)
         moved = look + step * (x.T @ (fu + fl).astype(np.float32)) / n
-        moved = np.sign(moved) * np.maximum(np.abs(moved) - step * soft, 0)
+        moved = np.maximum(moved - step * soft, 0) if options.rising else np.sign(moved) * np.maximum(np.abs(moved) - step * soft, 0)
         cuts = cuts + step * cut_slopes(fu, fl) / n
         cuts = np.maximum.accumulate(cuts - 1e-3 * np.arange(top)) + 1e-3 * np.arange(top)
         after = (1 + (1 + 4 * t * t) ** 0.5) / 2
