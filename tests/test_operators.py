@@ -1,6 +1,7 @@
 """Hand-made cases for sources, phasing, streaming and edge rules."""
 
 import gzip
+import random
 
 from pyspark.sql import functions as F
 
@@ -82,7 +83,8 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_barcodes_without_contigs(spark):
-    reads = spark.createDataFrame([("b1", "ACGT" * 30), ("b2", "ACG")], "barcode string, seq string")
+    r = random.Random(3)
+    reads = spark.createDataFrame([("b1", "".join(r.choice("ACGT") for _ in range(240))), ("b2", "ACG")], "barcode string, seq string")
     limits = AssembleOptions(min_contig=100)
     found = assemble.assemble_barcodes(reads, limits)
     assert [r["barcode"] for r in found.collect()] == ["b1"]
