@@ -104,5 +104,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     distances = tuple(chosen.split_distance or JobOptions.split_distances)
     options = JobOptions(split_distances=distances, min_reads=chosen.min_reads, min_mapq=chosen.min_mapq)
     spark = SparkSession.builder.getOrCreate()
-    reads = tagged_reads(spark, chosen.reads)
+    # the SAM text is parsed once; all tables read the result
+    tagged_reads(spark, chosen.reads).write.mode("overwrite").parquet(f"{chosen.out}/reads")
+    reads = spark.read.parquet(f"{chosen.out}/reads")
     write_targets(targets(reads, dict.fromkeys(chosen.module, True), options), chosen.out, vars(chosen))

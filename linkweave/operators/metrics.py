@@ -119,13 +119,14 @@ def adapter_frequency(reads: DataFrame, adapter: Column, start: int, length: int
     return reads.agg(F.count(F.lit(1)).alias("n_reads"), _count(hit).alias("n_hits"), F.round(F.avg(hit.cast("double")), 6).alias("frequency"))
 
 
-def adapter_trim(reads: DataFrame, adapters: DataFrame, k: int = 23, mismatches: int = 1, few_bases: int = 200_000) -> DataFrame:
+def adapter_trim(reads: DataFrame, adapters: DataFrame, k: int = 23, mismatches: int = 1, most_rows: int = 1_000_000) -> DataFrame:
     """Trims each read from its first place that holds an adapter k-mer with up to ``mismatches`` (0 or 1).
 
     Reads are cut into k-mers and joined to the adapters' k-mer neighbourhood on equality; the least hit
-    place per read is all that is gathered. The adapter side is broadcast only up to ``few_bases`` bases.
+    place per read is all that is gathered. The adapter side, a row per base and
+    neighbour, is broadcast only up to ``most_rows`` rows.
     """
-    few = (adapters.agg(F.sum(F.length("adapter"))).first()[0] or 0) <= few_bases
+    few = (adapters.agg(F.sum(F.length("adapter"))).first()[0] or 0) * (1 + 3 * k * mismatches) <= most_rows
     probes = adapters.select(F.explode(S.kmers(F.col("adapter"), k)).alias("w"))
     if mismatches:
         probes = probes.select(F.explode(S.neighbours(F.col("w"), k)).alias("w"))

@@ -236,15 +236,14 @@ def coverage_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH {_READS_SQL}, m AS (SELECT *, CASE WHEN pos - lag(pos) OVER w >= {GAP} THEN 1 ELSE 0 END AS s FROM reads WHERE barcode IS NOT NULL WINDOW w AS (PARTITION BY barcode, chrom ORDER BY pos, read_id)),
+    f"""WITH rs AS (SELECT event_id AS read_id, event_type AS chrom, CAST(user_id AS VARCHAR) AS barcode, epoch_us(ts) AS pos FROM events),
+m AS (SELECT *, CASE WHEN pos - lag(pos) OVER w >= {GAP} THEN 1 ELSE 0 END AS s FROM rs WINDOW w AS (PARTITION BY barcode, chrom ORDER BY pos, read_id)),
 n AS (SELECT *, sum(s) OVER (PARTITION BY barcode, chrom ORDER BY pos, read_id ROWS UNBOUNDED PRECEDING) AS f FROM m)
 SELECT barcode, chrom, count(*) AS n_reads, min(pos) AS first_us, max(pos) AS last_us FROM n GROUP BY barcode, chrom, f"""
 )
 def session_fragments(spark: SparkSession, d: str) -> DataFrame:
     """The streaming operator over the batch table."""
-    rows = _table(spark, d, "events").selectExpr(
-        "cast(user_id as string) as barcode", "user_id", "event_type as chrom", "cast(ts as timestamp) as ts"
-    ).filter("user_id % 25 <> 0")
+    rows = _table(spark, d, "events").selectExpr("cast(user_id as string) as barcode", "user_id", "event_type as chrom", "cast(ts as timestamp) as ts")
     found = sessions.stream_sessions(rows, GAP // 1_000_000)
     return found.select("barcode", "chrom", "n_reads", F.unix_micros("first").alias("first_us"), F.unix_micros("last").alias("last_us"))
 
@@ -745,14 +744,14 @@ def conflict_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pools(spark: SparkSession, d: str) -> DataFrame:
-    """Reads of two neighbouring molecules under one barcode; some pools lack the reads that join theirs."""
-    reads = _molecule_reads(spark, d).withColumn("p", F.col("barcode").cast("bigint"))
-    kept = reads.filter("p % 5 <> 0 or read_id in (0, 2)")
+    """Reads of two neighbouring molecules under one barcode; in some, copies of the first read stand for those that join theirs."""
+    reads = _molecules(spark, d).withColumnRenamed("seq", "whole").join(_molecule_reads(spark, d), "barcode").withColumn("p", F.col("barcode").cast("bigint"))
+    kept = reads.withColumn("seq", F.expr("case when p % 5 = 0 and read_id in (1, 3) then substr(whole, 1, 56) else seq end"))
     return kept.select(F.floor(F.col("p") / 2).cast("string").alias("barcode"), (F.col("p") % 2 * 4 + F.col("read_id")).alias("read_id"), "seq")
 
 
 @_query(
-    f"""WITH {_PLACE_SQL}, po AS (SELECT CAST(CAST(barcode AS BIGINT) // 2 AS VARCHAR) AS barcode, CAST(barcode AS BIGINT) % 2 * 4 + read_id AS r, seq FROM rd WHERE CAST(barcode AS BIGINT) % 5 <> 0 OR read_id IN (0, 2)),
+    f"""WITH {_PLACE_SQL}, po AS (SELECT CAST(CAST(barcode AS BIGINT) // 2 AS VARCHAR) AS barcode, CAST(barcode AS BIGINT) % 2 * 4 + read_id AS r, CASE WHEN CAST(barcode AS BIGINT) % 5 = 0 AND read_id IN (1, 3) THEN substr(m.seq, 1, 56) ELSE rd.seq END AS seq FROM rd JOIN m USING (barcode)),
 ps AS (SELECT barcode, min(r) AS r, seq FROM po GROUP BY barcode, seq), tg AS (SELECT barcode, r, 0 AS s, seq FROM ps UNION ALL SELECT barcode, r, 1, reverse(translate(seq, 'ACGT', 'TGCA')) FROM ps),
 qk AS (SELECT barcode, r, i, substr(seq, i, 17) AS w FROM (SELECT *, unnest(range(1, length(seq) - 15)) AS i FROM ps)), tk AS (SELECT barcode, r, s, i, substr(seq, i, 17) AS w FROM (SELECT *, unnest(range(1, length(seq) - 15)) AS i FROM tg)),
 dl AS (SELECT q.barcode, q.r AS a, t.r AS b FROM qk q JOIN tk t ON q.barcode = t.barcode AND q.w = t.w AND q.r < t.r GROUP BY q.barcode, q.r, t.r, t.s, t.i - q.i HAVING count(DISTINCT q.i) >= 3 AND max(q.i) - min(q.i) >= 20),

@@ -119,31 +119,31 @@ def bead_odds(spark: SparkSession, d: str) -> DataFrame:
 # --- contigs ----------------------------------------------------------------------------------------------
 
 
-@_query("SELECT CASE WHEN n = 1 THEN 'one' ELSE 'several' END AS kind, count(*) AS n_barcodes, CAST(sum(n) AS BIGINT) AS n_contigs FROM (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_linenumber = 6 GROUP BY 1) GROUP BY 1")
+@_query("SELECT CASE WHEN n = 1 THEN 'one' ELSE 'several' END AS kind, count(*) AS n_barcodes, CAST(sum(n) AS BIGINT) AS n_contigs FROM (SELECT l_partkey * 10 + l_linenumber AS b, count(*) AS n FROM lineitem GROUP BY 1) GROUP BY 1")
 def contigs_per_barcode(spark: SparkSession, d: str) -> DataFrame:
-    return contigs.contigs_per_barcode(_table(spark, d, "lineitem").filter("l_linenumber = 6").select(F.col("l_partkey").alias("barcode")))
+    return contigs.contigs_per_barcode(_table(spark, d, "lineitem").select((F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("barcode")))
 
 
 _ARMS = "cast(floor(l_quantity * {k}) as bigint) as len"
 
 
-def _arm(spark: SparkSession, d: str, line: int, k: int) -> DataFrame:
-    return _table(spark, d, "lineitem").filter(F.col("l_linenumber") == line).selectExpr("l_orderkey as barcode", _ARMS.format(k=k))
+def _arm(spark: SparkSession, d: str, k: int) -> DataFrame:
+    return _table(spark, d, "lineitem").selectExpr("l_orderkey as barcode", _ARMS.format(k=k))
 
 
-_ARMS_SQL = "a AS (SELECT l_orderkey AS barcode, max({0}) AS x FROM lineitem WHERE l_linenumber = 1 GROUP BY 1), b AS (SELECT l_orderkey AS barcode, max({1}) AS y FROM lineitem WHERE l_linenumber = 2 GROUP BY 1)".format(
+_ARMS_SQL = "a AS (SELECT l_orderkey AS barcode, max({0}) AS x FROM lineitem GROUP BY 1), b AS (SELECT l_orderkey AS barcode, max({1}) AS y FROM lineitem GROUP BY 1)".format(
     *[_ARMS.format(k=k).removesuffix(" as len") for k in (40, 30)]
 )
 
 
 @_query(f"WITH {_ARMS_SQL} SELECT barcode, x AS old_len, y AS new_len, y - x AS gain FROM a JOIN b USING (barcode) WHERE y > x")
 def lengthened_contigs(spark: SparkSession, d: str) -> DataFrame:
-    return contigs.lengthened(_arm(spark, d, 1, 40), _arm(spark, d, 2, 30))
+    return contigs.lengthened(_arm(spark, d, 40), _arm(spark, d, 30))
 
 
 @_query(f"WITH {_ARMS_SQL} SELECT barcode, x AS ref_len, y AS own_len, x - y AS gap FROM a JOIN b USING (barcode) WHERE x >= 1000 AND y < 1000")
 def shortfall_cohort(spark: SparkSession, d: str) -> DataFrame:
-    return contigs.shortfall(_arm(spark, d, 1, 40), _arm(spark, d, 2, 30), 1000)
+    return contigs.shortfall(_arm(spark, d, 40), _arm(spark, d, 30), 1000)
 
 
 @_query()
@@ -323,10 +323,10 @@ def largest_blocks(spark: SparkSession, d: str) -> DataFrame:
     return variants.largest_blocks(_table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("chrom"), F.col("l_orderkey").alias("block")).agg(F.count(F.lit(1)).alias("n_snps")))
 
 
-@_query("SELECT o_orderpriority AS chrom, o_orderkey AS pos, CAST(substr(o_orderpriority, 1, 1) AS INT) AS ord FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2', '4')")
+@_query("SELECT o_orderpriority AS chrom, o_orderkey AS pos, CAST(substr(o_orderpriority, 1, 1) AS INT) * 3 % 5 AS ord FROM orders")
 def merge_ordered(spark: SparkSession, d: str) -> DataFrame:
     orders = _table(spark, d, "orders").selectExpr("o_orderpriority as chrom", "o_orderkey as pos")
-    header = orders.select("chrom").distinct().withColumn("ord", F.substring("chrom", 1, 1).cast("int")).filter("ord in (1, 2, 4)")
+    header = orders.select("chrom").distinct().withColumn("ord", F.substring("chrom", 1, 1).cast("int") * 3 % 5)
     files = [orders.filter(F.substring("chrom", 1, 1) == str(i)) for i in range(1, 6)]
     return variants.merge_ordered(files, header).select("chrom", "pos", "ord")
 

@@ -63,13 +63,13 @@ def non_n_bases(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH {_orders_sql()}, l AS (SELECT * FROM iv WHERE e > s), r AS (SELECT chrom, s + 40 AS s, e + 30 AS e, name FROM iv WHERE name % 3 = 0 AND e + 30 > s + 40)
+    f"""WITH {_orders_sql()}, l AS (SELECT * FROM iv WHERE e > s), r AS (SELECT chrom, s + 40 AS s, e + 30 AS e, name FROM iv WHERE e + 30 > s + 40)
 SELECT l.chrom, l.s AS l_start, l.e AS l_end, l.name AS l_name, r.s AS r_start, r.e AS r_end, r.name AS r_name, CASE WHEN r.name IS NULL THEN 0 ELSE least(l.e, r.e) - greatest(l.s, r.s) END AS overlap
 FROM l LEFT JOIN r ON l.chrom = r.chrom AND l.s < r.e AND r.s < l.e"""
 )
 def overlap_outer(spark: SparkSession, d: str) -> DataFrame:
     left = _orders(spark, d).filter("end > start").drop("weight")
-    right = left.filter("name % 3 = 0").selectExpr("chrom", "start + 40 as start", "end + 30 as end", "name").filter("end > start")
+    right = left.selectExpr("chrom", "start + 40 as start", "end + 30 as end", "name").filter("end > start")
     return intervals.overlap_outer(left, right, "chrom", 16, "name")
 
 
@@ -85,14 +85,14 @@ def merged_strands(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH iv AS (SELECT 'one' AS chrom, epoch_us(o_orderdate) // 86400000000 AS s, epoch_us(o_orderdate) // 86400000000 + o_orderkey % 2 AS e FROM orders WHERE o_custkey % 29 = 0),
+    """WITH iv AS (SELECT 'one' AS chrom, epoch_us(o_orderdate) // 86400000000 * 400 + o_orderkey % 397 AS s, epoch_us(o_orderdate) // 86400000000 * 400 + o_orderkey % 397 + o_custkey % 11 AS e FROM orders),
 m AS (SELECT *, CASE WHEN s > max(e) OVER (ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS b FROM iv), n AS (SELECT *, sum(b) OVER (ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM m)
 SELECT chrom, min(s) AS "start", max(e) AS "end", count(*) AS n_merged, max(e) - min(s) + 1 AS span FROM n GROUP BY chrom, i"""
 )
 def one_chromosome_merge(spark: SparkSession, d: str) -> DataFrame:
     """All intervals on one chromosome: the sweep is cut by ranges."""
-    rows = _orders(spark, d, "'one'").join(_table(spark, d, "orders").filter("o_custkey % 29 = 0").select(F.col("o_orderkey").alias("name")), "name")
-    return intervals.merge_intervals(rows.withColumn("end", F.col("start") + F.col("name") % 2).select("chrom", "start", "end"))
+    at = "cast(unix_micros(cast(o_orderdate as timestamp)) div 86400000000 as bigint) * 400 + o_orderkey % 397"
+    return intervals.merge_intervals(_table(spark, d, "orders").selectExpr("'one' as chrom", f"{at} as start", f"{at} + o_custkey % 11 as end"))
 
 
 @_query(
