@@ -6,12 +6,12 @@ import argparse
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import seq as S
 from .kernels.assembly import AssembleOptions
-from .operators import assemble, fragments, metrics
+from .operators import assemble, calibration, contigs, fragments, metrics, placement
 from .sources import text
 
 
@@ -67,10 +67,44 @@ def _contig_tables(reads: DataFrame, options: JobOptions) -> dict[str, DataFrame
     return {"contigs": assemble.assemble_barcodes(pool, AssembleOptions(min_contig=options.min_contig))}
 
 
+def _denovo_tables(reads: DataFrame, options: JobOptions) -> dict[str, DataFrame]:
+    """Reads that don't conflict, read pools, contigs, and the verdicts on each barcode's longest contig."""
+    order = Window.partitionBy("barcode").orderBy("seq")
+    pool = reads.filter("barcode is not null").select("barcode", "seq").distinct().withColumn("read_id", F.row_number().over(order).cast("long"))
+    judged = assemble.conflict_filter(pool)
+    kept = pool.join(judged.filter("kept = 1").select("barcode", "read_id"), ["barcode", "read_id"])
+    found = assemble.assemble_barcodes(kept.select("barcode", "seq"), AssembleOptions(min_contig=options.min_contig))
+    longest = found.filter("contig_ix = 0").select("barcode", F.col("contig_ix").alias("target_id"), "seq")
+    back = placement.read_back(placement.placements(kept, longest), kept, longest)
+    junctions = assemble.junction_qc(found, kept)
+    none = reads.sparkSession.createDataFrame([], "barcode string, chimera string")
+    verdict = calibration.verdict(longest.select("barcode", "seq"), back.select("barcode", "breadth_1x"), none, junctions.select("barcode", "junction_suspect"))
+    flags = {"junction": (junctions, "junction_suspect"), "pools": (assemble.pool_components(pool), "suspect"), "verdict": (verdict, "low_confidence")}
+    return {
+        "read_filter": judged, "contigs": found, "readback": back, **{name: df for name, (df, _) in flags.items()},
+        **{f"{name}_counts": contigs.qc_counts(df, flag) for name, (df, flag) in flags.items()},
+    }
+
+
+def _duplicate_tables(reads: DataFrame, options: JobOptions) -> dict[str, DataFrame]:
+    mapped = reads.filter(~S.has_flag(F.col("flag"), 4))
+    rates = metrics.duplicate_rates(mapped)
+    return {"duplicate_rates": rates, "duplicate_totals": metrics.duplicate_totals(rates)}
+
+
+def _gc_tables(reads: DataFrame, options: JobOptions) -> dict[str, DataFrame]:
+    mate = F.when(S.has_flag(F.col("flag"), 128), 2).otherwise(1)
+    rows = reads.select(mate.alias("mate"), "seq")
+    return {"gc": metrics.gc_histogram(rows, options.read_length), "gc_both": metrics.gc_both(rows, options.read_length)}
+
+
 MODULES: dict[str, Callable[[DataFrame, JobOptions], dict[str, DataFrame]]] = {
     "eval_metrics": _metric_tables,
     "LFR": _fragment_tables,
     "frag_de_novo": _contig_tables,
+    "denovo_qc": _denovo_tables,
+    "duplicates": _duplicate_tables,
+    "gc_bias": _gc_tables,
 }
 
 
@@ -100,11 +134,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--split-distance", type=int, action="append")
     parser.add_argument("--min-reads", type=int, default=JobOptions.min_reads)
     parser.add_argument("--min-mapq", type=int, default=JobOptions.min_mapq)
+    parser.add_argument("--min-contig", type=int, default=JobOptions.min_contig)
+    parser.add_argument("--read-length", type=int, default=JobOptions.read_length)
+    parser.add_argument("--chrom", action="append", help="keep alignments to these references; each must be in the header")
     chosen = parser.parse_args(arguments)
     distances = tuple(chosen.split_distance or JobOptions.split_distances)
-    options = JobOptions(split_distances=distances, min_reads=chosen.min_reads, min_mapq=chosen.min_mapq)
+    options = JobOptions(split_distances=distances, min_reads=chosen.min_reads, min_mapq=chosen.min_mapq, min_contig=chosen.min_contig, read_length=chosen.read_length)
     spark = SparkSession.builder.getOrCreate()
+    known = [r["chrom"] for r in text.sam_references(spark, chosen.reads).collect()] if chosen.chrom else []
+    if missing := sorted(set(chosen.chrom or ()) - set(known)):
+        parser.error(f"not in the header: {', '.join(missing)}")
     # the SAM text is parsed once; all tables read the result
-    tagged_reads(spark, chosen.reads).write.mode("overwrite").parquet(f"{chosen.out}/reads")
+    contigs.in_regions(tagged_reads(spark, chosen.reads), chosen.chrom).write.mode("overwrite").parquet(f"{chosen.out}/reads")
     reads = spark.read.parquet(f"{chosen.out}/reads")
     write_targets(targets(reads, dict.fromkeys(chosen.module, True), options), chosen.out, vars(chosen))

@@ -97,10 +97,11 @@ def long_report(parts: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def write_split_log(counts: DataFrame, summary: DataFrame, path: str) -> None:
-    """Barcodes in first-seen order as tab-separated text, and the demultiplexing counters beside them."""
+def write_split_log(counts: DataFrame, summary: DataFrame, path: str, diversity: DataFrame | None = None) -> None:
+    """Barcodes in first-seen order as tab-separated text, and the demultiplexing counters (and those of diversity) beside them."""
     counts.orderBy("first_ord").select("cnt", "barcode", "first_ord").write.mode("overwrite").csv(f"{path}/barcodes", sep="\t", header=True)
-    long_report({"demultiplexing": summary}).coalesce(1).write.mode("overwrite").csv(f"{path}/summary", sep="\t", header=True)
+    parts = {"demultiplexing": summary} | ({} if diversity is None else {"diversity": diversity})
+    long_report(parts).coalesce(1).write.mode("overwrite").csv(f"{path}/summary", sep="\t", header=True)
 
 
 def write_by_barcode(reads: DataFrame, barcodes: DataFrame, path: str) -> DataFrame:

@@ -215,6 +215,18 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def sam_references(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, length) of the header's sequence lines; no alignment is parsed."""
+    rows = spark.read.text(path).filter(F.col("value").startswith("@SQ\t"))
+    return rows.select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"), F.regexp_extract("value", r"\tLN:(\d+)", 1).try_cast("long").alias("length")).distinct()
+
+
+def first_by_membership(reads: DataFrame, names: DataFrame, most: int = 200) -> tuple[DataFrame, DataFrame]:
+    """The first ``most`` reads (by ``ord``; so many are the feature) whose name is listed, and of those whose name isn't."""
+    listed = names.select("name").distinct()
+    return tuple(reads.join(listed, "name", how).orderBy("ord").limit(most) for how in ("left_semi", "left_anti"))
+
+
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
     """BED rows; see ``named_reads`` for split BED, whose fourth column holds read, barcode and mate."""
     return spark.read.csv(path, sep="\t", comment=_COMMENT, schema="chrom string, start long, end long, name string, score string, strand string", mode="PERMISSIVE")
