@@ -35,7 +35,7 @@ class TrainOptions:
     min_docs: int = 5
     word_bytes: int = 64
     penalty: float = 0.04
-    ridge: float = 0.5
+    ridge: float = 0.1
     steps: int = 500
     holdout: int = 5
     grades: int = 2
