@@ -102,7 +102,7 @@ def runs(parts: list[str], options: SpanOptions) -> list[tuple[int, int, str]]:
 def remove_repeated_sentences(docs: DataFrame, options: SpanOptions = SpanOptions()) -> DataFrame:
     """Every row of ``docs`` without the sentences covered by a non-first repeated run.
 
-    The first place of a run is the least (doc_id, text, number of the run); null ids come last. Rows equal in
+    The first place of a run is the least (doc_id, hash of the text, number of the run); null ids come last. Rows equal in
     doc_id and text are one document: they keep and lose the same sentences. Null text stays null and
     empty text empty; a text of fewer sentences than a run keeps all. Further columns are ignored.
 
