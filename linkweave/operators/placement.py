@@ -15,16 +15,17 @@ def placements(reads: DataFrame, targets: DataFrame, k: int = 17, min_anchors: i
     distinct k-mers over ``min_span`` bases; the best by anchors must be the only best one, and only
     one strand may place. (barcode, read_id) and (barcode, target_id) are keys.
     """
-    # rows grow by two orders where they are cut into k-mers, so the short rows are spread first
-    reads, targets = reads.select("barcode", "read_id", "seq").repartition("barcode", "read_id"), targets.select("barcode", "target_id", "seq").repartition("barcode", "target_id")
+    # rows grow by two orders where they are cut into k-mers, so the short rows are spread first: by barcode, as every
+    # later step stays inside one (a molecule). With spark.sql.requireAllClusterKeysForCoPartition false nothing moves again.
+    n = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reads, targets = reads.select("barcode", "read_id", "seq").repartition(n, "barcode"), targets.select("barcode", "target_id", "seq").repartition(n, "barcode")
     both = reads.select(
         "barcode", "read_id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("s")), F.struct(F.lit("-").alias("strand"), S.reverse_complement(F.col("seq")).alias("s")))).alias("o")
     )
     query = both.select("barcode", "read_id", "o.strand", F.posexplode(S.kmers(F.col("o.s"), k)).alias("qpos", "w"))
     index = targets.select("barcode", "target_id", F.posexplode(S.kmers(F.col("seq"), k)).alias("tpos", "w"))
-    # one exchange serves both the count of a k-mer's places and the join
     per_word = Window.partitionBy("barcode", "target_id", "w")
-    index = index.repartition("barcode", "w").withColumn("_n", F.count(F.lit(1)).over(per_word)).filter(F.col("_n") <= max_hits).drop("_n")
+    index = index.withColumn("_n", F.count(F.lit(1)).over(per_word)).filter(F.col("_n") <= max_hits).drop("_n")
     hits = query.join(index, ["barcode", "w"])
     # a diagonal meets each place of the query once, so rows count as distinct anchors
     diagonals = hits.groupBy("barcode", "read_id", "target_id", "strand", (F.col("tpos") - F.col("qpos")).alias("start")).agg(
