@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
-from ..operators import barcodes, calibration, contigs, demux, fragments, intervals, variants
+from ..operators import barcodes, calibration, contigs, demux, fragments, variants
 from .catalogue import _ALLELES_SQL, _DNA, _FRAGS_SQL, _LIST_SQL, _MOLECULE, _READS_SQL, DAY, _alleles, _fragments, _molecule_reads, _molecules, _query, _reads, _table
 
 # --- order and selection of barcodes --------------------------------------------------------------------

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import contigs, demux, fragments, intervals, metrics
+from ..operators import contigs, demux, intervals, metrics
 from ..sources import text
 from .catalogue import _DEPTH_SQL, _DNA, _FRAGS_SQL, _LIST_SQL, _MOLECULE, _PLACE_SQL, _READS_SQL, DAY, _demuxed, _depth, _fragments, _molecule_reads, _molecules, _orders, _orders_sql, _query, _reads, _table
 
