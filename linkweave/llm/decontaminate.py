@@ -6,7 +6,6 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import utf8, written
 
