@@ -38,12 +38,13 @@ def shortfall_classes(reads: DataFrame, own: DataFrame, reference: DataFrame, ed
     target = reference.select("barcode", F.lit(0).alias("target_id"), "seq")
     sizes = reference.select("barcode", F.length("seq").alias("ref_len"))
     pool = reads.select("barcode", "seq").distinct().withColumn("read_id", F.xxhash64("seq"))
-    at = placement.placements(own.select("barcode", F.lit(0).alias("read_id"), "seq"), target).join(own.select("barcode", F.length("seq").alias("n")), "barcode")
+    # short rows of many barcodes are estimated too small for Spark to choose these joins
+    at = placement.placements(own.select("barcode", F.lit(0).alias("read_id"), "seq"), target).join(own.select("barcode", F.length("seq").alias("n")).hint("merge"), "barcode")
     ours = at.select("barcode", F.col("start").alias("s"), (F.col("start") + F.col("n")).alias("e"))
-    placed = placement.placements(pool, target).join(pool.select("barcode", "read_id", F.length("seq").alias("n")), ["barcode", "read_id"])
+    placed = placement.placements(pool, target).join(pool.select("barcode", "read_id", F.length("seq").alias("n")).hint("merge"), ["barcode", "read_id"])
     reach = lambda point: ((F.col("start") <= F.col(point) - edge) & (F.col("start") + F.col("n") >= F.col(point) + edge)).cast("long")
-    bridges = placed.join(ours, "barcode").groupBy("barcode").agg(F.sum(reach("s")).alias("left"), F.sum(reach("e")).alias("right"))
-    joined = sizes.join(ours, "barcode", "left").join(bridges, "barcode", "left").na.fill(0, ["left", "right"])
+    bridges = placed.join(ours.hint("merge"), "barcode").groupBy("barcode").agg(F.sum(reach("s")).alias("left"), F.sum(reach("e")).alias("right"))
+    joined = sizes.join(ours.hint("merge"), "barcode", "left").join(bridges.hint("merge"), "barcode", "left").na.fill(0, ["left", "right"])
     left, right = (F.col("s") > 0) & (F.col("left") >= least), (F.col("e") < F.col("ref_len")) & (F.col("right") >= least)
     kind = (
         F.when(F.col("s").isNull(), "unplaced").when((F.col("s") <= 0) & (F.col("e") >= F.col("ref_len")), "covers")

@@ -11,7 +11,7 @@ from linkweave.plans import catalogue
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["kmer_placement", "readback_support"])
+@pytest.mark.parametrize("name", ["kmer_placement", "readback_support", "shortfall_classes"])
 def test_nothing_is_broadcast(spark, name):
     assert "Broadcast" not in catalogue.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
