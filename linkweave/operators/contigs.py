@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import seq as S
-from . import placement
+from ..kernels import pools as K
+from . import placement, pools
 
 
 def contigs_per_barcode(contigs: DataFrame) -> DataFrame:
@@ -80,14 +82,10 @@ def kmer_identity(reads: DataFrame, k: int) -> DataFrame:
 
 def base_votes(aligned: DataFrame, contigs: DataFrame, min_votes: int = 3, share: float = 0.6) -> DataFrame:
     """Places (from 0) where placed reads outvote a contig base: one vote is the contig's own, ties give the least base."""
-    each = lambda df, *keys: df.select(*keys, F.posexplode(F.filter(F.split("seq", ""), lambda c: c != "")).alias("i", "base"))
-    own = each(contigs, "barcode").select("barcode", F.col("i").cast("long").alias("at"), "base")
-    cast = each(aligned, "barcode", "start").select("barcode", (F.col("start") + F.col("i")).cast("long").alias("at"), "base")
-    votes = cast.unionByName(own).groupBy("barcode", "at", "base").agg(F.count(F.lit(1)).alias("n"))
-    top = votes.groupBy("barcode", "at").agg(F.sum("n").alias("total"), F.min(F.struct((-F.col("n")).alias("n"), "base")).alias("b"))
-    won = top.filter((F.col("total") >= min_votes) & (-F.col("b.n") >= share * F.col("total")))
-    changed = own.join(won, ["barcode", "at"]).filter(F.col("base") != F.col("b.base"))
-    return changed.select("barcode", "at", F.col("base").alias("old"), F.col("b.base").alias("new"), (-F.col("b.n")).alias("votes"), "total")
+    part = lambda df, n, start: df.select("barcode", F.lit(n).alias("_part"), start.cast("long").alias("start"), "seq")
+    rows = part(contigs, 0, F.lit(0)).unionByName(part(aligned, 1, F.col("start"))).filter("start is not null and seq is not null")
+    schema = StructType([rows.schema["barcode"], *[StructField(*x) for x in (("at", LongType()), ("old", StringType()), ("new", StringType()), ("votes", LongType()), ("total", LongType()))]])
+    return pools.by_barcode(rows, lambda own: K.outvoted(own, min_votes, share), schema, "_part")
 
 
 def direction_by_adapter(contigs: DataFrame, adapter: str, flank: int = 30) -> DataFrame:

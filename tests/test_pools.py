@@ -5,13 +5,13 @@ import random
 import pytest
 
 from linkweave.kernels import assembly
-from linkweave.operators import placement
+from linkweave.operators import contigs, placement
 from linkweave.plans import catalogue
 
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["kmer_placement", "readback_support", "shortfall_classes"])
+@pytest.mark.parametrize("name", ["kmer_placement", "readback_support", "shortfall_classes", "base_votes"])
 def test_nothing_is_broadcast(spark, name):
     assert "Broadcast" not in catalogue.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
@@ -36,3 +36,11 @@ def test_placements_equal_single_ones(spark):
     rows = [tuple(x) for x in found.select("barcode", "read_id", "target_id", "start", "strand").collect()]
     assert len(rows) == len(want) > 40
     assert set(rows) == want
+
+
+def test_votes_over_ends_and_several_contigs(spark):
+    aligned = [("a", -2, "GGCC"), ("a", -1, "TCC"), ("a", 0, "CCAATTT"), ("a", 9, "G"), ("a", None, "G"), ("a", 0, None), (None, 0, "CC"), ("b", 0, "A")]
+    own = [("a", "CAAA"), ("a", "CC"), ("b", "T"), (None, "AA"), ("c", None)]
+    found = contigs.base_votes(spark.createDataFrame(aligned, "barcode string, start int, seq string"), spark.createDataFrame(own, "barcode string, seq string"), share=0.5)
+    assert found.schema.simpleString() == "struct<barcode:string,at:bigint,old:string,new:string,votes:bigint,total:bigint>"
+    assert sorted(tuple(x) for x in found.collect()) == [("a", 1, "A", "C", 4, 5)]
