@@ -58,16 +58,13 @@ def shortfall_classes(reads: DataFrame, own: DataFrame, reference: DataFrame, ed
 def drop_contained(contigs: DataFrame, k: int = 17) -> DataFrame:
     """Distinct sequences per barcode that are no part of a longer one.
 
-    A contained sequence's first k-mer lies in the longer one, so candidates come from an equi-join on (barcode, k-mer);
-    sequences shorter than ``k`` are compared within their barcode.
+    A contained sequence's first k-mer lies in the longer one, so candidates come from an index of first k-mers;
+    sequences shorter than ``k`` are compared within their barcode. Rows without a barcode are compared with none.
     """
-    rows = contigs.select("barcode", "seq").distinct()
-    words = rows.select("barcode", F.col("seq").alias("_long"), F.explode(F.array_distinct(S.kmers(F.col("seq"), k))).alias("_w"))
-    probe = rows.filter(F.length("seq") >= k).withColumn("_w", F.substring("seq", 1, k))
-    inside = (F.length("_long") > F.length("seq")) & (F.instr("_long", F.col("seq")) > 0)
-    short = rows.filter(F.length("seq") < k).join(rows.select("barcode", F.col("seq").alias("_long")), "barcode").filter(inside)
-    gone = probe.join(words, ["barcode", "_w"]).filter(inside).select("barcode", "seq").union(short.select("barcode", "seq"))
-    return rows.join(gone, ["barcode", "seq"], "left_anti")
+    rows = contigs.select("barcode", "seq")
+    apart = rows.filter("barcode is null or seq is null").distinct()
+    kept = pools.by_barcode(rows.filter("seq is not null"), lambda own: ((s,) for s in K.uncontained((s for (s,) in own), k)), rows.schema)
+    return kept.union(apart)
 
 
 def kmer_identity(reads: DataFrame, k: int) -> DataFrame:

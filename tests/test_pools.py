@@ -11,7 +11,7 @@ from linkweave.plans import catalogue
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["kmer_placement", "readback_support", "shortfall_classes", "base_votes"])
+@pytest.mark.parametrize("name", ["kmer_placement", "readback_support", "shortfall_classes", "base_votes", "drop_contained"])
 def test_nothing_is_broadcast(spark, name):
     assert "Broadcast" not in catalogue.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
@@ -44,3 +44,15 @@ def test_votes_over_ends_and_several_contigs(spark):
     found = contigs.base_votes(spark.createDataFrame(aligned, "barcode string, start int, seq string"), spark.createDataFrame(own, "barcode string, seq string"), share=0.5)
     assert found.schema.simpleString() == "struct<barcode:string,at:bigint,old:string,new:string,votes:bigint,total:bigint>"
     assert sorted(tuple(x) for x in found.collect()) == [("a", 1, "A", "C", 4, 5)]
+
+
+def test_contained_sequences(spark):
+    r = random.Random(7)
+    rows = [("a", "ACGTACGTAC"), ("a", "CGTACG"), ("a", "CGTACG"), ("a", "GT"), ("a", "TT"), ("a", ""), ("a", None), ("b", "CGTACG"), (None, "ACGT"), (None, "CG"), (None, "CG")]
+    for b in "cdefgh":
+        whole = "".join(r.choices("AC", k=60))
+        rows += [(b, whole[i : i + r.randint(1, 30)]) for i in r.choices(range(50), k=25)]
+    want = {(b, s) for b, s in rows if b is None or s is None or not any(b == c and s in x and len(x) > len(s) for c, x in rows if x)}
+    found = [tuple(x) for x in contigs.drop_contained(spark.createDataFrame(rows, "barcode string, seq string"), k=5).collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == want
