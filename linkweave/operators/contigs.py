@@ -69,12 +69,11 @@ def drop_contained(contigs: DataFrame, k: int = 17) -> DataFrame:
 
 def kmer_identity(reads: DataFrame, k: int) -> DataFrame:
     """Pairs of a barcode's reads with a common k-mer: the k-th root of the share of the smaller k-mer set that both have."""
-    words = reads.select("barcode", "read_id", F.explode(F.array_distinct(S.kmers(F.col("seq"), k))).alias("w"))
-    sizes = words.groupBy("barcode", "read_id").agg(F.count(F.lit(1)).alias("n"))
-    a, b = words.withColumnRenamed("read_id", "a"), words.withColumnRenamed("read_id", "b")
-    both = a.join(b, ["barcode", "w"]).filter("a < b").groupBy("barcode", "a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    sized = both.join(sizes.selectExpr("barcode", "read_id as a", "n as na"), ["barcode", "a"]).join(sizes.selectExpr("barcode", "read_id as b", "n as nb"), ["barcode", "b"])
-    return sized.select("barcode", "a", "b", "shared", F.round(F.pow(F.col("shared") / F.least("na", "nb"), F.lit(1.0 / k)), 6).alias("identity"))
+    rows = reads.select("barcode", "read_id", "seq").filter("read_id is not null and seq is not null")
+    kind = rows.schema["read_id"].dataType
+    schema = StructType([rows.schema["barcode"], StructField("a", kind), StructField("b", kind), StructField("shared", LongType()), StructField("_n", LongType())])
+    both = pools.by_barcode(rows, lambda own: K.shared_words(own, k), schema)
+    return both.select("barcode", "a", "b", "shared", F.round(F.pow(F.col("shared") / F.col("_n"), F.lit(1.0 / k)), 6).alias("identity"))
 
 
 def base_votes(aligned: DataFrame, contigs: DataFrame, min_votes: int = 3, share: float = 0.6) -> DataFrame:

@@ -11,7 +11,7 @@ from linkweave.plans import catalogue
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["kmer_placement", "readback_support", "shortfall_classes", "base_votes", "drop_contained"])
+@pytest.mark.parametrize("name", ["kmer_placement", "readback_support", "shortfall_classes", "base_votes", "drop_contained", "kmer_identity"])
 def test_nothing_is_broadcast(spark, name):
     assert "Broadcast" not in catalogue.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
@@ -56,3 +56,13 @@ def test_contained_sequences(spark):
     found = [tuple(x) for x in contigs.drop_contained(spark.createDataFrame(rows, "barcode string, seq string"), k=5).collect()]
     assert len(found) == len(set(found))
     assert set(found) == want
+
+
+def test_identity_of_all_pairs(spark):
+    r = random.Random(9)
+    rows = [(b, i, "".join(r.choices("ACG", k=r.randint(0, 12)))) for b in "ab" for i in r.sample(range(99), 9)]
+    words = {(b, i): {s[j : j + 3] for j in range(len(s) - 2)} for b, i, s in rows}
+    want = {(b, i, j, n, round((n / min(len(x), len(y))) ** (1 / 3), 6)) for (b, i), x in words.items() for (c, j), y in words.items() if b == c and i < j and (n := len(x & y))}
+    odd = [(None, 1, "ACGACG"), (None, 2, "ACGACG"), ("a", None, "ACGACG"), ("a", 100, None)]
+    found = contigs.kmer_identity(spark.createDataFrame(rows + odd, "barcode string, read_id int, seq string"), 3)
+    assert {tuple(x) for x in found.collect()} == want
